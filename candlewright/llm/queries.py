@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from candlewright.functions.times import micros
 from candlewright.llm.cooccurrence import cooccurrences
+from candlewright.llm.mixing import mixture, mixture_report, plan_mixture, sized_documents
 from candlewright.llm.nearest_time import nearest_in_time
+from candlewright.llm.splitting import split_oversized
+from candlewright.operators.channels import with_username
 from candlewright.plans.feeds import MENTIONS_SQL, MESSAGE, NAMED_SQL, message_coins
+from candlewright.session import checkpointed
 from candlewright.sources.tables import read_table
 
 
@@ -34,7 +38,40 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return p4_pairs(spark, folder).where(often).select("coin_a", "coin_b")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p4_found, p4_pairs)}
+def _mixing(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    targets = read_table(spark, folder, "mix_targets")
+    documents = read_table(spark, folder, "documents").select("doc_id", "source", "text")
+    named = with_username(documents, read_table(spark, folder, "telegram_channels"), "source")
+    sized = checkpointed(sized_documents(named, targets, "doc_id", "username", "text"))
+    return sized, plan_mixture(sized, targets)
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources that fall short of their share however often they may be used."""
+    return _mixing(spark, folder)[1].where("is_short").select("source")
+
+
+def p8_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Shares wanted and reached by source."""
+    return mixture_report(*_mixing(spark, folder))
+
+
+def p8_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of the mixture and how often each is used."""
+    return mixture(*_mixing(spark, folder)).withColumnRenamed("id", "doc_id")
+
+
+def p9_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in pieces of at most 1,500 tokens, neighbours overlapping by 100."""
+    return split_oversized(read_table(spark, folder, "documents").select("doc_id", "text"), "text", limit=1500, overlap=100).drop("text")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that had to be cut."""
+    return p9_pieces(spark, folder).where("n_pieces > 1 AND piece_no = 0").select("doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p4_found, p4_pairs, p8_found, p8_report, p8_mixture, p9_found, p9_pieces)}
 
 _PAIRS_SQL = f"""
 {NAMED_SQL}, {MENTIONS_SQL},
