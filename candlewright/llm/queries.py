@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewright.functions.text import strip
 from candlewright.functions.times import micros
 from candlewright.llm.cooccurrence import cooccurrences
+from candlewright.llm.language import language_of, sampled_profiles
 from candlewright.llm.mixing import mixture, mixture_report, plan_mixture, sized_documents
 from candlewright.llm.nearest_time import nearest_in_time
 from candlewright.llm.splitting import split_oversized
 from candlewright.operators.channels import with_username
-from candlewright.plans.feeds import MENTIONS_SQL, MESSAGE, NAMED_SQL, message_coins
+from candlewright.plans.feeds import MENTIONS_SQL, MESSAGE, NAMED_SQL, message_coins, named_messages
 from candlewright.session import checkpointed
 from candlewright.sources.tables import read_table
 
@@ -38,6 +40,34 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return p4_pairs(spark, folder).where(often).select("coin_a", "coin_b")
 
 
+def _messages_with_language(spark: SparkSession, folder: str) -> DataFrame:
+    profiles = sampled_profiles(read_table(spark, folder, "language_samples"), "lang", "text")
+    rows = named_messages(spark, folder).where(F.length(strip(F.col("message_text"))) >= 20)
+    found = language_of(F.col("message_text"), profiles)
+    return rows.select(*MESSAGE, "language", "message_text", found.alias("found")).where("found IS NOT NULL")
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages of the messages that hold several, or whose label is missing or another."""
+    rows = _messages_with_language(spark, folder).select(*MESSAGE, "language", "found.languages")
+    label = F.lower(F.substring(F.coalesce("language", F.lit("")), 1, 2))
+    case = (F.size("languages") > 1) | (label != F.element_at("languages", 1))
+    return rows.where(case).select(*MESSAGE, F.explode("languages").alias("lang")).distinct()
+
+
+def p5_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """Language and confidence of every stored row whose text tells one."""
+    rows = _messages_with_language(spark, folder)
+    return rows.select(*MESSAGE, "found.lang", "found.confidence", F.array_join("found.languages", ",").alias("languages"))
+
+
+def p5_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments of the messages that hold several languages, each with its language and confidence."""
+    rows = _messages_with_language(spark, folder).where(F.size("found.languages") > 1)
+    rows = rows.select(*MESSAGE, F.posexplode("found.segments").alias("segment_no", "s"))
+    return rows.select(*MESSAGE, "segment_no", "s.start", "s.length", "s.lang", "s.confidence")
+
+
 def _mixing(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     targets = read_table(spark, folder, "mix_targets")
     documents = read_table(spark, folder, "documents").select("doc_id", "source", "text")
@@ -71,7 +101,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_pieces(spark, folder).where("n_pieces > 1 AND piece_no = 0").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p4_found, p4_pairs, p8_found, p8_report, p8_mixture, p9_found, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p2_found, p4_found, p4_pairs, p5_found, p5_languages, p5_segments, p8_found, p8_report, p8_mixture, p9_found, p9_pieces)}
 
 _PAIRS_SQL = f"""
 {NAMED_SQL}, {MENTIONS_SQL},
