@@ -9,6 +9,7 @@ from candlewright.functions.text import strip
 from candlewright.functions.times import micros
 from candlewright.llm.cooccurrence import cooccurrences
 from candlewright.llm.language import language_of, sampled_profiles
+from candlewright.llm.leakage import leaks
 from candlewright.llm.mixing import mixture, mixture_report, plan_mixture, sized_documents
 from candlewright.llm.nearest_time import nearest_in_time
 from candlewright.llm.splitting import split_oversized
@@ -68,6 +69,22 @@ def p5_segments(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(*MESSAGE, "segment_no", "s.start", "s.length", "s.lang", "s.confidence")
 
 
+def p7_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold passages of test items with up to 2 word edits, and how many."""
+    return leaks(read_table(spark, folder, "documents"), read_table(spark, folder, "eval_items"), "doc_id", "text", "item_id", "text")
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold 12 consecutive words of a test item, word by word."""
+    return p7_leaks(spark, folder).where("distance = 0").select("doc_id", "item_id")
+
+
+def p7_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Test items that leaked, with the number of documents that hold passages of them."""
+    found = p7_leaks(spark, folder).groupBy("item_id")
+    return found.agg(F.count(F.lit(1)).alias("n_documents"), F.count_if(F.col("distance") == 0).alias("n_exact"), F.max("n_passages").alias("most_passages"))
+
+
 def _mixing(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     targets = read_table(spark, folder, "mix_targets")
     documents = read_table(spark, folder, "documents").select("doc_id", "source", "text")
@@ -101,7 +118,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_pieces(spark, folder).where("n_pieces > 1 AND piece_no = 0").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p4_found, p4_pairs, p5_found, p5_languages, p5_segments, p8_found, p8_report, p8_mixture, p9_found, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p2_found, p4_found, p4_pairs, p5_found, p5_languages, p5_segments, p7_found, p7_leaks, p7_items, p8_found, p8_report, p8_mixture, p9_found, p9_pieces)}
 
 _PAIRS_SQL = f"""
 {NAMED_SQL}, {MENTIONS_SQL},
