@@ -93,12 +93,14 @@ def regular_grid(
     Each row of the matrix is a stretch of a source, scaled by its own mean and deviation, so that one source
     with most of the readings is many rows. Sources with different periods share no column.
 
-    Defined results: readings without time, value, or known period play no part; repeated readings are one cell;
-    a source with one reading has no holes; an empty table gives no rows. Before a source's first and after its
-    last reading there is no grid.
+    Defined results: readings without source, time, finite value, or known period play no part; repeated readings
+    are one cell; a source with one reading has no holes; an empty table gives no rows; other columns play no part.
+    Before a source's first and after its last reading there is no grid. An instant before 1970 can be observed,
+    but its holes are unsupported.
     """
     keys = [*source, "period_s"]
-    usable = readings.where(F.col(value).isNotNull())
+    finite = F.abs(F.col(value).cast("double")) < float("inf")  # NaN counts as greater
+    usable = readings.where(" AND ".join(f"`{c}` IS NOT NULL" for c in source)).where(finite)
     cells = checkpointed(observed_cells(usable, source, at, value, period_s, latest))
     gaps = checkpointed(holes(cells, source, longest_s))
 

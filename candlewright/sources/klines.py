@@ -38,6 +38,8 @@ class KlineReader(DataSourceReader):
         return [Pair(c, t) for c in self.coins for t in self.timeframes]
 
     def read(self, partition: Pair) -> Iterator[tuple]:
+        if partition is None:  # no pairs were asked for
+            return
         start = int(self.since) if self.since else None
         try:
             while True:
