@@ -110,7 +110,8 @@ def pieces(text: Column, limit: int, overlap: int, path: str = VOCABULARY) -> Co
         return pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("n_tokens", pa.int32())])))
 
     split.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    return F.arrow_udf(split, "array<struct<start: int, length: int, n_tokens: int>>")(text)
+    # marked so that a filter on the pieces doesn't have them made a second time
+    return F.arrow_udf(split, "array<struct<start: int, length: int, n_tokens: int>>").asNondeterministic()(text)
 
 
 def split_oversized(items: DataFrame, text: str, limit: int = 1500, overlap: int = 100, path: str = VOCABULARY) -> DataFrame:
@@ -129,7 +130,7 @@ def split_oversized(items: DataFrame, text: str, limit: int = 1500, overlap: int
     cut = items.withColumn("__pieces", pieces(F.col(text), limit, overlap, path))
     rows = cut.select(
         *(F.col(c) for c in items.columns if c == text or c not in new),
-        F.coalesce(F.size("__pieces"), F.lit(0)).alias("__n"),
+        F.when(F.col("__pieces").isNull(), 0).otherwise(F.size("__pieces")).alias("__n"),
         F.posexplode_outer("__pieces").alias("__no", "__piece"),
     )
     piece = F.substring(F.col(text), F.col("__piece.start") + 1, F.col("__piece.length"))
