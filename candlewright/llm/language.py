@@ -259,15 +259,64 @@ _RESULT = pa.struct(
 RESULT = "struct<lang: string, confidence: double, languages: array<string>, segments: array<struct<start: int, length: int, lang: string, confidence: double>>>"
 
 
-def _chunks(texts: list[str | None]) -> Iterable[tuple[int, int]]:
-    start, held = 0, 0
-    for i, t in enumerate(texts):
-        held += len(t or "") + 1
-        if held > CHUNK:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def _parts(text: str) -> Iterable[tuple[int, str]]:
+    """``text`` in parts of at most ``CHUNK`` characters with their place, cut at a blank where there is one."""
+    start = 0
+    while len(text) - start > CHUNK:
+        cut = text.rfind(" ", start + CHUNK // 2, start + CHUNK) + 1 or start + CHUNK
+        yield start, text[start:cut]
+        start = cut
+    yield start, text[start:]
+
+
+def _chunks(texts: list[str]) -> Iterable[list[tuple[int, int, str]]]:
+    """``(text, place, part)`` of all parts, in groups of about ``CHUNK`` characters."""
+    group, held = [], 0
+    for i, text in enumerate(texts):
+        for place, part in _parts(text) if len(text) > CHUNK else ((0, text),):
+            group.append((i, place, part))
+            held += len(part) + 1
+            if held > CHUNK:
+                yield group
+                group, held = [], 0
+    if group:
+        yield group
+
+
+def _score(texts: list[str], profiles: Profiles) -> tuple[list[list[tuple]], np.ndarray]:
+    """The segments of each text (``start, length, letters, language or None, confidence, clear``), and its summed distances."""
+    segments: list[list[tuple]] = [[] for _ in texts]
+    weight = np.zeros((len(texts), len(profiles.languages)))
+    for group in _chunks(texts):
+        found = segments_of([part for _, _, part in group])
+        n = len(found.start)
+        distance = profiles.distances(found, n)
+        telling = (found.letters >= LEAST_LETTERS) & (found.words >= LEAST_WORDS) & (found.text_no < len(group))
+        best, sure = _confidence(distance)
+        owner = np.array([i for i, _, _ in group] + [-1])[np.minimum(found.text_no, len(group))]
+        start = found.start + np.array([p for _, p, _ in group] + [0])[np.minimum(found.text_no, len(group))]
+        rows = np.flatnonzero(telling)
+        np.add.at(weight, owner[rows], distance[rows] * found.letters[rows, None])
+        clear = telling & (sure >= CLEAR)
+        told = np.where(telling, best, -1)
+        for i, *segment in zip(*(x.tolist() for x in (owner, start, found.length, found.letters, told, sure, clear))):
+            if i >= 0:
+                segments[i].append(tuple(segment))
+    return segments, weight
+
+
+def _joined(segments: list[tuple], main: int, kinds: set[int]) -> list[list]:
+    """Neighbouring segments of one language as one: ``start, end, language, confidence``."""
+    out: list[list] = []
+    for start, length, letters, told, sure, _ in segments:
+        mine = None if told < 0 else told if told in kinds else main
+        if out and (not letters or mine is None or out[-1][2] in (mine, None)):
+            out[-1][1] = start + length
+            out[-1][2] = mine if out[-1][2] is None else out[-1][2]
+            out[-1][3] = max(out[-1][3], sure if told >= 0 else 0.0)
+        else:
+            out.append([start, start + length, mine, sure if told >= 0 else 0.0])
+    return out
 
 
 def identify(texts: list[str | None], profiles: Profiles) -> pa.Array:
@@ -277,54 +326,21 @@ def identify(texts: list[str | None], profiles: Profiles) -> pa.Array:
     with the first that can be told. A text's languages are those of its segments that are clearly told apart,
     else the one nearest to all its telling segments together. A text with no telling segment has none.
     """
+    if not profiles.languages:
+        return pa.nulls(len(texts), _RESULT)
+    segments, weight = _score([_blanked(t or "") for t in texts], profiles)
+    whole, whole_sure = _confidence(weight)
+    names = profiles.languages
     out: list[dict | None] = []
-    for low, high in _chunks(texts):
-        chunk = [_blanked(t or "") for t in texts[low:high]]
-        found = segments_of(chunk)
-        n = len(found.start)
-        distance = profiles.distances(found, n)
-        telling = (found.letters >= LEAST_LETTERS) & (found.words >= LEAST_WORDS) & (found.text_no < len(chunk))
-        best, sure = _confidence(distance)
-        rows = np.flatnonzero(telling)
-        weight = np.zeros((len(chunk), len(profiles.languages)))
-        np.add.at(weight, found.text_no[rows], distance[rows] * found.letters[rows, None])
-        whole, whole_sure = _confidence(weight)
-        clear = telling & (sure >= CLEAR)
-        by_text = np.searchsorted(found.text_no, np.arange(len(chunk) + 1))
-        names = profiles.languages
-        start, length, lang, sure_of = found.start.tolist(), found.length.tolist(), best.tolist(), sure.tolist()
-        is_clear, tells, letters = clear.tolist(), telling.tolist(), found.letters.tolist()
-        for t in range(len(chunk)):
-            own = range(by_text[t], by_text[t + 1])
-            told = [i for i in own if tells[i]]
-            if not told:
-                out.append(None)
-                continue
-            main = int(whole[t])
-            kinds = {lang[i] for i in own if is_clear[i]}
-            if len(kinds) < 2:
-                kinds = {main}
-            joined: list[list] = []
-            for i in own:
-                if not letters[i] and joined:
-                    joined[-1][1] = start[i] + length[i]
-                    continue
-                mine = (lang[i] if lang[i] in kinds else main) if tells[i] else None
-                if joined and (mine is None or joined[-1][2] in (mine, None)):
-                    last = joined[-1]
-                    last[1] = start[i] + length[i]
-                    last[2] = mine if last[2] is None else last[2]
-                    last[3] = max(last[3], sure_of[i] if tells[i] else 0.0)
-                else:
-                    joined.append([start[i], start[i] + length[i], mine, sure_of[i] if tells[i] else 0.0])
-            out.append(
-                {
-                    "lang": names[main],
-                    "confidence": float(whole_sure[t]),
-                    "languages": sorted(names[k] for k in kinds),
-                    "segments": [{"start": a, "length": b - a, "lang": names[k], "confidence": float(c)} for a, b, k, c in joined],
-                }
-            )
+    for own, main, sure in zip(segments, whole.tolist(), whole_sure.tolist()):
+        if not any(s[3] >= 0 for s in own):
+            out.append(None)
+            continue
+        kinds = {s[3] for s in own if s[5]}
+        if len(kinds) < 2:
+            kinds = {main}
+        parts = [{"start": a, "length": b - a, "lang": names[k], "confidence": c} for a, b, k, c in _joined(own, main, kinds)]
+        out.append({"lang": names[main], "confidence": sure, "languages": sorted(names[k] for k in kinds), "segments": parts})
     return pa.array(out, _RESULT)
 
 

@@ -52,12 +52,41 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return kind, folded
 
 
+def _parts(text: str) -> Iterator[str]:
+    """``text`` in parts of at most ``CHUNK`` characters, cut at a blank, or inside an endless word."""
+    start = 0
+    while len(text) - start > CHUNK:
+        cut = text.rfind(" ", start + CHUNK // 2, start + CHUNK) + 1 or start + CHUNK
+        yield text[start:cut]
+        start = cut
+    yield text[start:]
+
+
 def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The words of texts as 64-bit codes, and the number of each word's text.
 
     Words are the longest runs of letters and digits; letter case, accents, compatibility and composition forms,
-    and invisible format characters make no difference.
+    and invisible format characters make no difference. A word of more than ``CHUNK`` characters counts as several.
     """
+    codes, numbers, group, owner, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [], [], 0
+    for i, text in enumerate(texts):
+        for part in _parts(text) if len(text) > CHUNK else (text,):
+            if held and held + len(part) > CHUNK:
+                code, place = _words(group)
+                codes.append(code)
+                numbers.append(np.array(owner)[place])
+                group, owner, held = [], [], 0
+            group.append(part)
+            owner.append(i)
+            held += len(part) + 1
+    if group:
+        code, place = _words(group)
+        codes.append(code)
+        numbers.append(np.array(owner)[place])
+    return np.concatenate(codes), np.concatenate(numbers)
+
+
+def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     kind_of, folded_of = _tables()
     forms = [t if t.isascii() else unicodedata.normalize("NFKD", t) for t in texts]
     ends = np.cumsum([len(t) + 1 for t in forms])
