@@ -354,4 +354,5 @@ def language_of(text: Column, profiles: Profiles) -> Column:
         return identify(texts.to_pylist(), profiles)
 
     detect.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    return F.arrow_udf(detect, RESULT)(text)
+    # marked so that a filter on the result doesn't have it found a second time
+    return F.arrow_udf(detect, RESULT).asNondeterministic()(text)

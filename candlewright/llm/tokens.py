@@ -61,4 +61,4 @@ def token_count(text: Column, path: str = VOCABULARY) -> Column:
         return pa.array([None if t is None else len(encode(t, path)) for t in texts.to_pylist()], pa.int64())
 
     count.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    return F.arrow_udf(count, "bigint")(text)
+    return F.arrow_udf(count, "bigint").asNondeterministic()(text)  # never counted twice
