@@ -28,8 +28,8 @@ def _same(keys: list[str]) -> Column:
 def one_copy_each(stored: DataFrame, keys: list[str], order: list[str], new: DataFrame | None = None) -> DataFrame:
     """The first copy of each group of rows with equal ``keys``, with ``copies``, the size of its group.
 
-    A stored copy goes before a new one; then ``order`` decides (NULLs first), then all other columns that can be
-    ordered, so that the choice doesn't depend on how the rows are spread. ``copies`` and ``delivery`` (0 stored,
+    A stored copy goes before a new one; then ``order`` decides (NULLs first), then a hash of all other columns, so
+    that the choice doesn't depend on how the rows are spread. ``copies`` and ``delivery`` (0 stored,
     1 new: of the kept copy) are added; columns of those names in the input are replaced.
 
     Defined results: NULL keys are equal to each other, as in a GROUP BY; repeated rows give one; an empty table
@@ -40,8 +40,9 @@ def one_copy_each(stored: DataFrame, keys: list[str], order: list[str], new: Dat
     if new is not None:
         rows = rows.unionByName(new.drop(*extra).withColumn("delivery", F.lit(1)), allowMissingColumns=True)
     columns = rows.columns
-    sortable = [c for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
-    by = list(dict.fromkeys(["delivery", *order, *(c for c in sortable if c not in keys)]))
+    hashed = [c for c, kind in rows.dtypes if c not in keys and "map<" not in kind and "variant" not in kind]
+    rows = rows.withColumn("__tie", F.xxhash64(*hashed))
+    by = ["delivery", *order, "__tie"]
 
     counted = frequencies(rows, keys).withColumnsRenamed({k: f"__{k}" for k in keys} | {"copies": "__copies"})
     total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -50,11 +51,11 @@ def one_copy_each(stored: DataFrame, keys: list[str], order: list[str], new: Dat
     repeated = counted.where((F.col("__copies") > 1) & ~is_hot)
 
     rest = rows.join(hot, _same(keys), "left_anti")
-    single = rest.join(repeated, _same(keys), "left_anti").withColumn("copies", F.lit(1).cast("bigint"))
+    single = rest.join(repeated, _same(keys), "left_anti").drop("__tie").withColumn("copies", F.lit(1).cast("bigint"))
 
-    grouped = rest.join(repeated, _same(keys)).select(*columns, F.col("__copies").alias("copies"))
+    grouped = rest.join(repeated, _same(keys)).select(*columns, "__tie", F.col("__copies").alias("copies"))
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
-    ranked = grouped.withColumn("__place", place).where("__place = 1").drop("__place")
+    ranked = grouped.withColumn("__place", place).where("__place = 1").drop("__place", "__tie")
 
     in_hot = rows.join(hot, _same(keys), "left_semi")
     others = [c for c in columns if c not in keys]
