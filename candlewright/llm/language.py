@@ -180,7 +180,7 @@ class Profiles:
     languages: list[str]
     owner: np.ndarray
     gram: np.ndarray
-    rank: np.ndarray  # by n-gram and profile; the last row is for unknown n-grams
+    rank: np.ndarray  # by profile and n-gram; 3 * PROFILE for one that a profile lacks
 
     def distances(self, found: Segments, n: int) -> np.ndarray:
         """Mean out-of-place distance of each segment to each language, from 0 to 1."""
@@ -189,16 +189,22 @@ class Profiles:
         best = np.full((n, len(self.languages)), np.inf)
         if not len(owner) or not len(self.gram):
             return best
-        at = np.minimum(np.searchsorted(self.gram, gram), len(self.gram) - 1)
-        at[self.gram[at] != gram] = len(self.gram)
-        away = self.rank[at]
-        away -= rank[:, None].astype(np.float32)
-        np.abs(away, out=away)
-        np.minimum(away, PROFILE, out=away)
         first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))  # n-grams come in order of their segment
-        mean = np.add.reduceat(away, first, axis=0) / np.diff(np.append(first, len(owner)))[:, None] / PROFILE
+        segment, n_grams = owner[first], np.diff(np.append(first, len(owner)))
+        at = np.minimum(np.searchsorted(self.gram, gram), len(self.gram) - 1)
+        known = np.flatnonzero(self.gram[at] == gram)  # all others count PROFILE in every profile
+        place = np.concatenate(([0], np.cumsum(self.gram[at] == gram)))[np.append(first, len(owner))]
+        at, rank = at[known], rank[known].astype(np.float32)
+        some = np.flatnonzero(np.diff(place))
         for p, language in enumerate(self.owner):
-            best[owner[first], language] = np.minimum(best[owner[first], language], mean[:, p])
+            saved = self.rank[p][at]
+            saved -= rank
+            np.abs(saved, out=saved)
+            np.minimum(saved, PROFILE, out=saved)
+            total = (n_grams - np.diff(place)) * float(PROFILE)
+            if len(some):
+                total[some] += np.add.reduceat(saved, place[:-1][some])
+            best[segment, language] = np.minimum(best[segment, language], total / n_grams / PROFILE)
         return best
 
 
@@ -222,8 +228,7 @@ def fit_profiles(samples: Iterable[tuple[str, str]]) -> Profiles:
             ranked.append(pd.Series(counts.rank(ascending=False).to_numpy() - 1, index=counts.index))
     table = pd.concat(ranked, axis=1) if ranked else pd.DataFrame()
     table = table.sort_index()
-    rank = np.vstack([table.to_numpy(dtype=np.float32).reshape(len(table), len(owner)), np.full((1, len(owner)), np.nan, np.float32)])
-    rank[np.isnan(rank)] = 3 * PROFILE  # farther than any rank, so it counts PROFILE
+    rank = np.ascontiguousarray(table.fillna(3 * PROFILE).to_numpy(dtype=np.float32).reshape(len(table), len(owner)).T)
     return Profiles(languages, np.array(owner, dtype=int), table.index.to_numpy(dtype=np.int64), rank)
 
 
@@ -283,10 +288,10 @@ def _chunks(texts: list[str]) -> Iterable[list[tuple[int, int, str]]]:
         yield group
 
 
-def _score(texts: list[str], profiles: Profiles) -> tuple[list[list[tuple]], np.ndarray]:
-    """The segments of each text (``start, length, letters, language or None, confidence, clear``), and its summed distances."""
+def _score(texts: list[str], profiles: Profiles) -> tuple[list[list[tuple]], np.ndarray, np.ndarray]:
+    """The segments of each text (``start, length, letters, language or -1, confidence, clear``), its summed distances, and its telling segments."""
     segments: list[list[tuple]] = [[] for _ in texts]
-    weight = np.zeros((len(texts), len(profiles.languages)))
+    weight, telling_in = np.zeros((len(texts), len(profiles.languages))), np.zeros(len(texts), np.int64)
     for group in _chunks(texts):
         found = segments_of([part for _, _, part in group])
         n = len(found.start)
@@ -297,12 +302,13 @@ def _score(texts: list[str], profiles: Profiles) -> tuple[list[list[tuple]], np.
         start = found.start + np.array([p for _, p, _ in group] + [0])[np.minimum(found.text_no, len(group))]
         rows = np.flatnonzero(telling)
         np.add.at(weight, owner[rows], distance[rows] * found.letters[rows, None])
+        np.add.at(telling_in, owner[rows], 1)
         clear = telling & (sure >= CLEAR)
         told = np.where(telling, best, -1)
         for i, *segment in zip(*(x.tolist() for x in (owner, start, found.length, found.letters, told, sure, clear))):
             if i >= 0:
                 segments[i].append(tuple(segment))
-    return segments, weight
+    return segments, weight, telling_in
 
 
 def _joined(segments: list[tuple], main: int, kinds: set[int]) -> list[list]:
@@ -328,19 +334,19 @@ def identify(texts: list[str | None], profiles: Profiles) -> pa.Array:
     """
     if not profiles.languages:
         return pa.nulls(len(texts), _RESULT)
-    segments, weight = _score([_blanked(t or "") for t in texts], profiles)
+    segments, weight, telling_in = _score([_blanked(t or "") for t in texts], profiles)
     whole, whole_sure = _confidence(weight)
     names = profiles.languages
     out: list[dict | None] = []
-    for own, main, sure in zip(segments, whole.tolist(), whole_sure.tolist()):
-        if not any(s[3] >= 0 for s in own):
+    for own, main, sure, n_telling in zip(segments, whole.tolist(), whole_sure.tolist(), telling_in.tolist()):
+        if not n_telling:
             out.append(None)
             continue
         kinds = {s[3] for s in own if s[5]}
         if len(kinds) < 2:
             kinds = {main}
         parts = [{"start": a, "length": b - a, "lang": names[k], "confidence": c} for a, b, k, c in _joined(own, main, kinds)]
-        out.append({"lang": names[main], "confidence": sure, "languages": sorted(names[k] for k in kinds), "segments": parts})
+        out.append({"lang": names[main], "confidence": sure, "languages": [names[main]] if len(kinds) == 1 else sorted(names[k] for k in kinds), "segments": parts})
     return pa.array(out, _RESULT)
 
 
