@@ -83,9 +83,13 @@ def high_marks(valid: DataFrame) -> DataFrame:
 
 
 def with_channel(messages: DataFrame, channels: DataFrame) -> DataFrame:
-    """Messages with their channel's username and title by ``channel_id``; NULL where it is missing or unknown."""
+    """Messages with their channel's username and title by ``channel_id``; NULL where it is missing or unknown.
+
+    Messages without ``channel_id``, which are many, take no part in the join and so never meet in one task.
+    """
     named = channels.select(F.col("id").alias("__id"), F.col("username").alias("channel_username"), F.col("title").alias("channel_title"))
-    return messages.join(named, F.col("channel_id") == F.col("__id"), "left").drop("__id")
+    known = messages.where("channel_id IS NOT NULL").join(named, F.col("channel_id") == F.col("__id"), "left").drop("__id")
+    return known.unionByName(messages.where("channel_id IS NULL"), allowMissingColumns=True)
 
 
 def coin_counts(messages: DataFrame) -> DataFrame:

@@ -33,10 +33,13 @@ def first_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def missing_from(stored: DataFrame, incoming: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The rows of ``incoming`` that an insert-or-ignore into ``stored`` adds."""
-    held = stored.select(*(F.col(k).alias(f"__{k}") for k in keys))
+    """The rows of ``incoming`` that an insert-or-ignore into ``stored`` adds.
+
+    Both sides are reduced to one row a key before they are moved.
+    """
+    held = stored.select(*(F.col(k).alias(f"__{k}") for k in keys)).distinct()
     same: Column = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
-    return first_wins(incoming.join(held, same, "left_anti"), keys, order)
+    return first_wins(incoming, keys, order).join(held, same, "left_anti")
 
 
 def after_insert(stored: DataFrame, incoming: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
