@@ -13,6 +13,7 @@ from candlewright.functions.text import ASSETS, channel_or_id, extract_coins, pr
 from candlewright.operators import candles as C
 from candlewright.operators import messages as M
 from candlewright.operators import sinks as S
+from candlewright.operators.indicators import bollinger, indicators
 from candlewright.plans.feeds import named_messages
 from candlewright.session import use_utc
 from candlewright.sources.channels import concatenated
@@ -169,6 +170,20 @@ def stream_insert_ignore(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("channel_name", "id", "ingested_at", F.array_join("coins_mentioned", ",").alias("coins"))
 
 
+def _series(spark: SparkSession, folder: str) -> DataFrame:
+    valid, _ = C.split_candles(_candles(spark, folder))
+    return S.first_wins(valid, ["coin", "timeframe", "open_time"], ["id"])
+
+
+def technical_indicators(spark: SparkSession, folder: str) -> DataFrame:
+    return indicators(_series(spark, folder))
+
+
+def bollinger_20(spark: SparkSession, folder: str) -> DataFrame:
+    bands = bollinger(_series(spark, folder))
+    return bands.withColumns({c: F.round(c, 4) for c in ("bb_upper", "bb_middle", "bb_lower")})
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -176,6 +191,7 @@ QUERIES = {
         language_route, detected_language, text_preview, channel_safe_name, channel_fallback, channel_join, channel_union,
         scrape_window, scan_bounds, resume_marks, parse_klines, price_decimal, candle_validity, candle_gaps, closed_candles,
         backfill_plan, pair_summary, first_wins, insert_ignore_candles, insert_ignore_messages, insert_chunks, stream_insert_ignore,
+        technical_indicators, bollinger_20,
     )
 }
 
@@ -291,6 +307,18 @@ SELECT * FROM stored UNION ALL SELECT id, channel_name, ingested_at FROM placed
 SELECT coin, timeframe, chunk, count(*) AS n_rows FROM (
   SELECT coin, timeframe, CAST((row_number() OVER (PARTITION BY coin, timeframe ORDER BY open_time NULLS FIRST, id) - 1) // 2000 + 1 AS BIGINT) AS chunk FROM ohlcv
 ) GROUP BY coin, timeframe, chunk
+""",
+    "bollinger_20": f"""
+WITH series AS (
+  SELECT coin, timeframe, open_time, arg_min(CAST(close AS DOUBLE), id) AS x FROM ohlcv WHERE ({_CANDLE_REASON}) IS NULL GROUP BY ALL
+),
+banded AS (
+  SELECT coin, timeframe, open_time, count(*) OVER w AS n, avg(x) OVER w AS middle, stddev_pop(x) OVER w AS deviation
+  FROM series WINDOW w AS (PARTITION BY coin, timeframe ORDER BY open_time ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)
+)
+SELECT coin, timeframe, open_time AS calculated_at, round(CASE WHEN n = 20 THEN middle + 2 * deviation END, 4) AS bb_upper,
+  round(CASE WHEN n = 20 THEN middle END, 4) AS bb_middle, round(CASE WHEN n = 20 THEN middle - 2 * deviation END, 4) AS bb_lower
+FROM banded
 """,
     "stream_insert_ignore": f"""
 SELECT channel_name, id, ingested_at, array_to_string({_COINS}, ',') AS coins FROM (
