@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,6 +141,10 @@ def _term(k: str, row: str, column: str) -> str:
     return f"(CASE WHEN {k} > 0 THEN ({k}) * ln(CAST({k} AS DOUBLE) * n / (CAST({row} AS DOUBLE) * ({column}))) ELSE 0 END)"
 
 
+#: Letters and digits of full width, the compatibility forms that the tables use, and the plain ones.
+_PLAIN = string.ascii_letters + string.digits
+_WIDE = "".join(chr(ord(c) + 0xFEE0) for c in _PLAIN)
+
 SQL = {
     "p2_found": f"""
 WITH {NAMED_SQL}, {MENTIONS_SQL},
@@ -149,6 +155,27 @@ SELECT username, id, created_s, ohlcv_id FROM (
   FROM mentions m JOIN candles c ON c.coin = m.coin || 'USDT'
     AND c.t BETWEEN m.created_s * 1000000 - 300000000 AND m.created_s * 1000000 + 300000000
 ) WHERE place = 1
+""",
+    "p7_found": rf"""
+WITH texts AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM eval_items),
+folded AS (SELECT kind, id, lower(regexp_replace(translate(nfc_normalize(text), '{_WIDE}', '{_PLAIN}'), '\p{{Cf}}', '', 'g')) AS t FROM texts),
+words AS (SELECT kind, id, regexp_extract_all(replace(strip_accents(t), 'đ', 'd'), '[\p{{L}}\p{{N}}]+') AS w FROM folded),
+runs AS (SELECT kind, id, array_to_string(w[k:k + 11], ' ') AS run FROM words, UNNEST(range(1, len(w) - 10)) AS u(k))
+SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM runs d JOIN runs i USING (run) WHERE d.kind = 'd' AND i.kind = 'i'
+""",
+    # sizes in words and marks; no case depends on which tokens are counted
+    "p8_found": r"""
+WITH spelled AS (
+  SELECT lower(username) AS spelled, username FROM telegram_channels WHERE NOT regexp_full_match(username, '[0-9]+')
+  UNION ALL SELECT CAST(id AS VARCHAR), username FROM telegram_channels
+),
+sized AS (
+  SELECT t.source, sum(len(regexp_extract_all(d.text, '[\p{L}\p{N}]+|[^\s\p{L}\p{N}]'))) AS tokens
+  FROM documents d JOIN spelled s ON lower(regexp_replace(trim(d.source), '^@+', '')) = s.spelled JOIN mix_targets t ON t.source = s.username
+  GROUP BY t.source
+)
+SELECT source FROM mix_targets LEFT JOIN sized USING (source)
+WHERE max_repeats * coalesce(tokens, 0) < target_share * (SELECT sum(tokens) FROM sized)
 """,
     "p4_found": f"WITH {_PAIRS_SQL} SELECT coin_a, coin_b FROM counted WHERE n_ab * 1000 >= n * 4 AND n_ab * n >= 3 * n_a * n_b",
     "p4_pairs": f"""
