@@ -18,8 +18,8 @@ from candlewright.session import checkpointed
 STRETCH = 1024
 #: Partitions over which matrix rows are numbered, so that the numbers fit 31 bits: up to 2**27 rows in each.
 _NUMBERED_OVER = 16
-#: Bits of a matrix column's number that hold the instant; the rest tells up to 8 period lengths apart.
-_INSTANT_BITS = 28
+#: Matrix columns are numbered with 31 bits: instants of all period lengths together, from the first to the last reading.
+_MOST_COLUMNS = (1 << 31) - 1
 
 
 def nearest_instant(at: Column, period_s: Column) -> Column:
@@ -95,8 +95,7 @@ def regular_grid(
 
     Defined results: readings without source, time, finite value, or known period play no part; repeated readings
     are one cell; a source with one reading has no holes; an empty table gives no rows; other columns play no part.
-    Before a source's first and after its last reading there is no grid. An instant before 1970 can be observed,
-    but its holes are unsupported.
+    Before a source's first and after its last reading there is no grid.
     """
     keys = [*source, "period_s"]
     finite = F.abs(F.col(value).cast("double")) < float("inf")  # NaN counts as greater
@@ -109,15 +108,16 @@ def regular_grid(
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("deviation"), F.count(F.lit(1)).alias("n_cells")
     )
     matrix_rows = checkpointed(_numbered(scales, [*keys, "stretch"]))
-    length = F.dense_rank().over(Window.orderBy("period_s")) - 1  # over the few period lengths, not the rows
-    lengths = cells.select("period_s").distinct().withColumn("length_no", length)
-    matrix_rows = matrix_rows.join(lengths, "period_s")
+    # The few period lengths one after the other, each with the instants from its first to its last reading.
+    before = Window.orderBy("period_s").rowsBetween(Window.unboundedPreceding, -1)
+    lengths = cells.groupBy("period_s").agg(F.min("slot").alias("low"), F.max("slot").alias("high"))
+    lengths = lengths.withColumn("offset", F.coalesce(F.sum(F.expr("high - low + 1")).over(before), F.lit(0)) - F.col("low"))
+    matrix_rows = matrix_rows.join(lengths.select("period_s", "offset"), "period_s")
 
     def placed(rows: DataFrame) -> DataFrame:
-        column = F.col("length_no") * F.lit(1 << _INSTANT_BITS) + F.col("slot")
-        fits = (F.col("slot") >= 0) & (F.col("slot") < (1 << _INSTANT_BITS)) & (F.col("length_no") < 8)
+        column = F.col("offset") + F.col("slot")
         joined = rows.withColumn("stretch", stretch).join(matrix_rows, [*keys, "stretch"], "left")
-        return joined.withColumn("column_no", F.when(fits, column).cast("int"))
+        return joined.withColumn("column_no", F.when(column < _MOST_COLUMNS, column).cast("int"))
 
     scaled = F.coalesce((F.col("value") - F.col("mean")) / F.nullif("deviation", F.lit(0.0)), F.lit(0.0))
     ratings = placed(cells).where("column_no IS NOT NULL").select("row_no", "column_no", scaled.cast("float").alias("rating"))
