@@ -25,10 +25,14 @@ BLOCKS = 32
 def _pair_codes(item: np.ndarray, basket: np.ndarray, n: int) -> Iterator[np.ndarray]:
     """Codes ``a * n + b`` of each item with itself, then of all two items of a basket, by their distance in it."""
     yield item * n + item
+    size = np.bincount(basket)[basket] if len(basket) else basket
     shift = 1
     while shift < len(item) and len(same := np.flatnonzero(basket[shift:] == basket[:-shift])):
         yield item[same] * n + item[same + shift]
         shift += 1
+        if shift & (shift - 1) == 0:  # now and then, leave the baskets that are through
+            left = size > shift
+            item, basket, size = item[left], basket[left], size[left]
 
 
 def _stripe_rows(names: dict[str, int], held: dict[tuple[int, int], int], records: int) -> pa.RecordBatch:
