@@ -38,12 +38,15 @@ def nearest_in_time(
     ).withColumn("__bucket", F.floor(at / width))
     untimed = rows.where("__e IS NULL OR __t IS NULL").select("__row.*")
 
-    both = rows.where("__e IS NOT NULL AND __t IS NOT NULL").unionByName(points, allowMissingColumns=True)
-    match = F.when(F.col("__id").isNotNull(), F.struct(at.alias("us"), F.col("__id").alias("id")))
-    ordered = Window.partitionBy("__e", "__bucket").orderBy("__t", F.col("__row").isNotNull())
-    last = F.last(match, ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    following = F.first(match, ignorenulls=True).over(ordered.rowsBetween(1, Window.unboundedFollowing))
-    carried = both.withColumn("__last", last).withColumn("__next", following).where("__row IS NOT NULL")
+    match = F.struct(at.alias("us"), F.col("__id").alias("id"))
+    points = points.select("__e", "__t", "__bucket", match.alias("__match"), F.lit(1).alias("__side"))
+    timed = rows.where("__e IS NOT NULL AND __t IS NOT NULL").withColumn("__side", F.lit(2))
+    both = timed.unionByName(points, allowMissingColumns=True)
+    # at one instant right rows come first; both columns carried share this order, and so one sort
+    ordered = Window.partitionBy("__e", "__bucket").orderBy("__t", "__side")
+    last = F.last("__match", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    following = F.first("__match", ignorenulls=True).over(ordered.rowsBetween(1, Window.unboundedFollowing))
+    carried = both.withColumn("__last", last).withColumn("__next", following).where("__side = 2")
 
     back, ahead = at - F.col("__last.us"), F.col("__next.us") - at
     back_ok, ahead_ok = F.coalesce(back <= tolerance_us, F.lit(False)), F.coalesce(ahead <= tolerance_us, F.lit(False))
