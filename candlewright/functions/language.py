@@ -16,14 +16,12 @@ VI_WORDS = ["và", "của", "là", "không", "cho", "đã", "được", "trong",
 EN_WORDS = ["the", "and", "of", "to", "is", "in", "for", "has", "have", "are", "with", "was", "this", "that", "on"]
 
 
-def _words(text: Column, words: list[str]) -> Column:
-    return F.regexp_count(text, F.lit(rf"(?<![\p{{L}}])({'|'.join(words)})(?![\p{{L}}])"))
-
-
 def detect_language(text: Column) -> Column:
     """``vi``, ``en`` or NULL: NULL for texts shorter than 20 after trimming and where neither has an edge."""
     lower = F.lower(text)
-    vi = F.regexp_count(lower, F.lit(f"[{VI_LETTERS}]")) + 2 * _words(lower, VI_WORDS)
-    en = 2 * _words(lower, EN_WORDS)
+    words = F.split(lower, r"[^\p{L}]+")
+    letters = F.length(lower) - F.length(F.translate(lower, VI_LETTERS, ""))
+    vi = letters + 2 * F.size(F.filter(words, lambda w: w.isin(VI_WORDS)))
+    en = 2 * F.size(F.filter(words, lambda w: w.isin(EN_WORDS)))
     told = F.when((vi >= 2) & (vi > en), "vi").when((en >= 2) & (en > vi), "en")
     return F.when(F.length(strip(text)) >= LEAST_DETECTABLE, told)

@@ -6,6 +6,7 @@ keys, so a single writer per table is assumed; a replayed batch finds its rows s
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,11 +48,23 @@ def after_insert(stored: DataFrame, incoming: DataFrame, keys: list[str], order:
     return stored.unionByName(missing_from(stored, incoming, keys, order))
 
 
-def insert_ignore(incoming: DataFrame, path: str, keys: list[str], order: list[str], partition_by: list[str] | None = None) -> None:
-    """Append to the parquet table at ``path`` the rows whose key it lacks. A table that isn't there yet is made."""
+def insert_ignore(
+    incoming: DataFrame,
+    path: str,
+    keys: list[str],
+    order: list[str],
+    partition_by: list[str] | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """Append to the parquet table at ``path`` the rows whose key it lacks. A table that isn't there yet is made.
+
+    ``finish`` makes the stored columns of the rows that are left, so that nothing is derived for rows that are ignored.
+    """
     spark = incoming.sparkSession
-    stored = spark.read.schema(incoming.schema).parquet(path) if exists(spark, path) else incoming.limit(0)
-    missing_from(stored, incoming, keys, order).write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
+    held = StructType([f for f in incoming.schema.fields if f.name in keys])
+    stored = spark.read.schema(held).parquet(path) if exists(spark, path) else incoming.select(*keys).limit(0)
+    added = missing_from(stored, incoming, keys, order)
+    (finish(added) if finish else added).write.mode("append").partitionBy(*(partition_by or [])).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from candlewright.operators.messages import split_messages
+from candlewright.operators.messages import checked_messages, enriched
 from candlewright.operators.sinks import insert_ignore, stored_messages
 from candlewright.schemas import MESSAGES
 
@@ -41,10 +41,12 @@ def start(
         stream = stream.where(F.col("channel_name").isin(channels))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        valid, rejected = split_messages(batch)
+        checked = checked_messages(batch)
         at = F.coalesce("ingested_at", F.current_timestamp().cast("timestamp_ntz"))
-        insert_ignore(stored_messages(valid, MESSAGES, at), sink, keys or ["id"], ["ingested_at"])
+        valid = checked.where("reject_reason IS NULL").drop("reject_reason")
+        insert_ignore(valid, sink, keys or ["id"], ["ingested_at"], finish=lambda rows: stored_messages(enriched(rows), MESSAGES, at))
         if rejects is not None:
+            rejected = checked.where("reject_reason IS NOT NULL")
             rejected.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
