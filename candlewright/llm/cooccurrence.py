@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from candlewright.session import checkpointed
 
-#: Cells of the stripes that a task holds before it passes them on. Nothing is dropped; further stripes follow.
-HELD_CELLS = 1_000_000
+#: Cells of the stripes, and items, that a task holds before it passes them on. Nothing is dropped; further stripes follow.
+HELD_CELLS, HELD_ITEMS = 1_000_000, 500_000
 #: Parts into which the neighbours of an item are split for merging.
 BLOCKS = 32
 
@@ -37,16 +37,18 @@ def _pair_codes(item: np.ndarray, basket: np.ndarray, n: int) -> Iterator[np.nda
 
 def _stripe_rows(names: dict[str, int], held: dict[tuple[int, int], int], records: int) -> pa.RecordBatch:
     """The held cells as one row per item and block of neighbours, and the count of records as an item without name."""
-    words = np.array(list(names), dtype=object)
-    place = np.argsort(np.argsort(words, kind="stable"))
     ends = np.array(list(held), dtype=np.int64).reshape(-1, 2)
     counts = np.array(list(held.values()), dtype=np.int64)
+    used, ends = np.unique(ends, return_inverse=True)
+    ends = ends.reshape(-1, 2)
+    words = np.array(list(names), dtype=object)[used]
+    place = np.argsort(np.argsort(words, kind="stable"))
     turned = place[ends[:, 0]] > place[ends[:, 1]]
     item, neighbour = np.where(turned, ends[:, 1], ends[:, 0]), np.where(turned, ends[:, 0], ends[:, 1])
     block = (pd.util.hash_array(words, categorize=False) % BLOCKS).astype(np.int32)[neighbour]
     order = np.lexsort((block, item))
     item, neighbour, counts, block = item[order], neighbour[order], counts[order], block[order]
-    first = np.flatnonzero(np.append(True, (np.diff(item) != 0) | (np.diff(block) != 0)))
+    first = np.flatnonzero(np.append(True, (np.diff(item) != 0) | (np.diff(block) != 0)))[: len(item)]
     offsets = pa.array([*first, len(item), len(item) + 1], pa.int32())
     named = pa.array([*words, None], pa.string())
     return pa.RecordBatch.from_arrays(
@@ -83,6 +85,9 @@ def _stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(held) >= HELD_CELLS:
                 yield _stripe_rows(names, held, records)
                 held, records = {}, 0
+        if len(names) >= HELD_ITEMS:
+            yield _stripe_rows(names, held, records)
+            names, held, records = {}, {}, 0
     if held or records:
         yield _stripe_rows(names, held, records)
 
@@ -99,11 +104,12 @@ def log_likelihood_ratio(n_ab: Column, n_a: Column, n_b: Column, n: Column) -> C
     return F.greatest(F.lit(0.0), 2 * (with_b + without_b))
 
 
-def cooccurrences(baskets: DataFrame, items: str) -> DataFrame:
+def cooccurrences(baskets: DataFrame, items: str, least_llr: float | None = None) -> DataFrame:
     """All pairs that occur together: ``item_a < item_b, n_ab, n_a, n_b, n, lift, llr``.
 
     ``n`` counts the records with at least one item, ``n_a`` and ``n_b`` those with the item. ``lift`` is how
-    much more often than chance the two meet; ``llr`` above 10.83 is significant at 0.1 %.
+    much more often than chance the two meet; ``llr`` above 10.83 is significant at 0.1 %. With ``least_llr`` only
+    the pairs come out that are at least so significant, meeting more or less often than chance.
 
     Defined results: NULL, empty or all-NULL baskets play no part; an item repeated in a basket counts once,
     NULL items not at all; the empty string is an item like any other; repeated baskets all count; an empty
@@ -120,7 +126,7 @@ def cooccurrences(baskets: DataFrame, items: str) -> DataFrame:
     pairs = merged.where("item <> neighbour").withColumn("n", n.scalar())
     a, b = own.withColumnsRenamed({"item": "item_a", "n_own": "n_a"}), own.withColumnsRenamed({"item": "item_b", "n_own": "n_b"})
     counted = pairs.withColumnsRenamed({"item": "item_a", "neighbour": "item_b"}).join(a, "item_a").join(b, "item_b")
-    return counted.select(
+    measured = counted.select(
         "item_a",
         "item_b",
         "n_ab",
@@ -130,3 +136,4 @@ def cooccurrences(baskets: DataFrame, items: str) -> DataFrame:
         (F.col("n_ab") * F.col("n") / (F.col("n_a") * F.col("n_b"))).alias("lift"),
         log_likelihood_ratio(F.col("n_ab"), F.col("n_a"), F.col("n_b"), F.col("n")).alias("llr"),
     )
+    return measured if least_llr is None else measured.where(F.col("llr") >= least_llr)

@@ -1,12 +1,14 @@
 """Nearest-time pairing and co-occurrence on small awkward tables, against plain Python."""
 
 import math
+import time
 from collections import Counter
 from itertools import combinations
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from candlewright.llm import cooccurrence
 from candlewright.llm.cooccurrence import cooccurrences
@@ -33,17 +35,31 @@ def brute(left, right, tolerance=10):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("bucket", [None, 20, 1000])
-def test_bounds_ties_nulls_and_repeats(spark, bucket):
+@pytest.mark.parametrize("partitions", [None, 1, 3, 16])
+def test_bounds_ties_nulls_and_repeats(spark, partitions):
     left = [("a", 100, 1), ("a", 100, 1), ("a", 120, 2), ("a", 121, 3), ("b", 0, 4), ("b", -5, 5), (None, 100, 6), ("a", None, 7), ("c", 5, 8)]
     right = [("a", 90, 5), ("a", 110, 6), ("a", 110, 4), ("a", 110, 4), ("b", 10, 9), ("b", -15, 8), (None, 100, 1), ("a", None, 1), ("a", 100, None)]
-    assert nearest(spark, left, right, bucket_us=bucket) == brute(left, right)
+    assert nearest(spark, left, right, partitions=partitions) == brute(left, right)
 
 
-def test_hot_entity_spreads_over_buckets(spark):
-    left = [("hot", i * 7 % 5000, i) for i in range(1500)]
-    right = [("hot", i * 13 % 5000, i) for i in range(300)]
-    assert nearest(spark, left, right) == brute(left, right)
+@pytest.mark.parametrize("partitions", [None, 7])
+def test_hot_entity_spreads_over_ranges(spark, partitions):
+    left = [("hot", i * 7 % 5000, i) for i in range(1500)] + [("tied", 50, 1)] * 400
+    right = [("hot", i * 13 % 5000, i) for i in range(300)] + [("tied", 45, 2), ("tied", 60, 1)]
+    assert nearest(spark, left, right, partitions=partitions) == brute(left, right)
+
+
+def test_a_million_rows_of_one_entity_in_an_hour(spark):
+    hour = 3_600_000_000
+    left = spark.range(1_000_000).select(F.lit("hot").alias("e"), (F.col("id") * 7_919 % hour).alias("at"), "id")
+    right = spark.range(4).select(F.lit("hot").alias("e"), (F.col("id") * hour / 4).cast("bigint").alias("open"), F.col("id").alias("rid"))
+    began = time.perf_counter()
+    got = nearest_in_time(left, right, "e", "at", "open", "rid", tolerance_us=300_000_000, partitions=8)
+    nearest_candle = F.least(F.round(F.col("at") / (hour / 4)), F.lit(3)).cast("bigint")
+    near = F.abs(F.col("at") - nearest_candle * (hour // 4)) <= 300_000_000
+    right_one = F.when(near, nearest_candle).eqNullSafe(F.col("match_id"))
+    assert got.agg(F.count(F.lit(1)).alias("n"), F.count_if(right_one).alias("right")).first() == (1_000_000, 1_000_000)
+    assert time.perf_counter() - began < 60
 
 
 def test_nearest_of_empty_tables(spark):
@@ -86,10 +102,19 @@ def test_pairs_of_nothing(spark):
     assert counted(spark, []) == {} and counted(spark, [None, [], ["x"]]) == {}
 
 
-def test_stripes_passed_on_early_lose_nothing(monkeypatch):
+def test_only_significant_pairs(spark):
+    baskets = [["a", "b"]] * 40 + [["c", "d"]] * 40 + [["x", "a"]]
+    df = spark.createDataFrame([(b,) for b in baskets], "items array<string>")
+    every, some = cooccurrences(df, "items").collect(), cooccurrences(df, "items", least_llr=10.83).collect()
+    assert 0 < len(some) < len(every) and {tuple(r) for r in some} == {tuple(r) for r in every if r.llr >= 10.83}
+
+
+@pytest.mark.parametrize(("cells", "items"), [(5, 1000), (1000, 3), (5, 3)])
+def test_stripes_passed_on_early_lose_nothing(monkeypatch, cells, items):
     import pyarrow as pa
 
-    monkeypatch.setattr(cooccurrence, "HELD_CELLS", 5)
+    monkeypatch.setattr(cooccurrence, "HELD_CELLS", cells)
+    monkeypatch.setattr(cooccurrence, "HELD_ITEMS", items)
     baskets = [[f"i{j % 7}", f"i{j % 5}x", f"i{j % 3}y"] for j in range(50)]
     batches = [pa.RecordBatch.from_arrays([pa.array(baskets[i : i + 10])], names=["items"]) for i in range(0, 50, 10)]
     seen = Counter()
