@@ -12,6 +12,7 @@ import unicodedata
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewright.llm.parts import codes, parts
+
 #: Labelled sentences that profiles are fitted on, at most, for each language.
 SAMPLES = 5_000
 #: N-grams in a profile; also how far out of place a missing one counts.
@@ -63,10 +66,27 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return kind, lower, upper
 
 
+@lru_cache(maxsize=1)
+def _joining() -> np.ndarray:
+    """Whether each 16-bit character belongs to the one before it: marks, and the later letters of a Hangul syllable."""
+    joins = np.array([not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c))[0] == "M" for c in range(65536)])
+    joins[0x1161:0x1176] = joins[0x11A8:0x11C3] = True
+    return joins
+
+
+def _composed(text: str) -> tuple[str, np.ndarray | None]:
+    """``text`` in composed form and, where that differs, the place in ``text`` of each of its characters and of its end."""
+    if text.isascii() or unicodedata.is_normalized("NFC", text):
+        return text, None
+    code = codes(text)
+    first = np.flatnonzero(~((code < 65536) & _joining()[np.minimum(code, 65535)]))
+    first = np.unique(np.append(0, first))
+    clusters = [unicodedata.normalize("NFC", text[a:b]) for a, b in pairwise([*first.tolist(), len(text)])]
+    return "".join(clusters), np.append(np.repeat(first, [len(c) for c in clusters]), len(text))
+
+
 def _blanked(text: str) -> str:
-    """``text`` composed, with links, handles and tags blanked in place."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text)
+    """``text`` with links, handles and tags blanked in place."""
     return _LINKS.sub(lambda m: " " * len(m[0]), text)
 
 
@@ -98,7 +118,7 @@ def segments_of(texts: list[str]) -> Segments:
     kind_of, lower_of, upper_of = _tables()
     sizes = np.array([len(t) + 1 for t in texts])
     ends = np.cumsum(sizes)
-    code = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "replace"), dtype="<u4")
+    code = codes("\n".join(texts) + "\n")
     code = np.where(code > 0xFFFF, 0, code).astype(np.int64)
     kind = kind_of[code]
     follows = np.append(kind[1:], _BREAK)
@@ -214,16 +234,21 @@ def _plain(text: str) -> str:
     return bare.replace("đ", "d").replace("Đ", "D")
 
 
+def _counts(texts: list[str]) -> pd.Series:
+    found = segments_of(texts)
+    return pd.Series(found.gram_count).groupby(found.gram).sum()
+
+
 def fit_profiles(samples: Iterable[tuple[str, str]]) -> Profiles:
     """Profiles of labelled texts: one as written for each language, one without accents where that differs."""
     frame = pd.DataFrame(samples, columns=["lang", "text"]).dropna()
     languages, owner, ranked = sorted(frame["lang"].unique()), [], []
     for no, language in enumerate(languages):
-        written = [_blanked(t) for t in frame.loc[frame["lang"] == language, "text"]]
+        written = [_blanked(_composed(t)[0]) for t in frame.loc[frame["lang"] == language, "text"]]
         bare = [_plain(t) for t in written]
         for texts in [written] + ([bare] if bare != written and any(c.isascii() for c in "".join(bare) if c.isalpha()) else []):
-            found = segments_of(texts)
-            counts = pd.Series(found.gram_count).groupby(found.gram).sum().sort_values(ascending=False, kind="stable")[:PROFILE]
+            counts = [_counts([part for _, _, part in group]) for group in _chunks(texts)]
+            counts = pd.concat(counts).groupby(level=0).sum().sort_values(ascending=False, kind="stable")[:PROFILE]
             owner.append(no)
             ranked.append(pd.Series(counts.rank(ascending=False).to_numpy() - 1, index=counts.index))
     table = pd.concat(ranked, axis=1) if ranked else pd.DataFrame()
@@ -264,21 +289,20 @@ _RESULT = pa.struct(
 RESULT = "struct<lang: string, confidence: double, languages: array<string>, segments: array<struct<start: int, length: int, lang: string, confidence: double>>>"
 
 
-def _parts(text: str) -> Iterable[tuple[int, str]]:
-    """``text`` in parts of at most ``CHUNK`` characters with their place, cut at a blank where there is one."""
-    start = 0
-    while len(text) - start > CHUNK:
-        cut = text.rfind(" ", start + CHUNK // 2, start + CHUNK) + 1 or start + CHUNK
-        yield start, text[start:cut]
-        start = cut
-    yield start, text[start:]
+def _between_words(code: np.ndarray) -> np.ndarray:
+    kind = _tables()[0][np.minimum(code, 65535)]
+    return (code > 65535) | ((kind != _LETTER) & (kind != _DIGIT))
+
+
+def _between_segments(code: np.ndarray) -> np.ndarray:
+    return (code < 65536) & (_tables()[0][np.minimum(code, 65535)] == _BREAK)
 
 
 def _chunks(texts: list[str]) -> Iterable[list[tuple[int, int, str]]]:
     """``(text, place, part)`` of all parts, in groups of about ``CHUNK`` characters."""
     group, held = [], 0
     for i, text in enumerate(texts):
-        for place, part in _parts(text) if len(text) > CHUNK else ((0, text),):
+        for place, part in parts(text, CHUNK, _between_words, better=_between_segments):
             group.append((i, place, part))
             held += len(part) + 1
             if held > CHUNK:
@@ -325,8 +349,8 @@ def _joined(segments: list[tuple], main: int, kinds: set[int]) -> list[list]:
     return out
 
 
-def identify(texts: list[str | None], profiles: Profiles) -> pa.Array:
-    """The language of each text and of each of its segments.
+def identify(texts: list[str | None], profiles: Profiles, with_segments: bool = True) -> pa.Array:
+    """The language of each text and, ``with_segments``, of each of its segments.
 
     Neighbouring segments of one language are joined; one too short to tell goes with the segment before it, or
     with the first that can be told. A text's languages are those of its segments that are clearly told apart,
@@ -334,30 +358,37 @@ def identify(texts: list[str | None], profiles: Profiles) -> pa.Array:
     """
     if not profiles.languages:
         return pa.nulls(len(texts), _RESULT)
-    segments, weight, telling_in = _score([_blanked(t or "") for t in texts], profiles)
+    composed = [_composed(t or "") for t in texts]
+    segments, weight, telling_in = _score([_blanked(t) for t, _ in composed], profiles)
     whole, whole_sure = _confidence(weight)
     names = profiles.languages
     out: list[dict | None] = []
-    for own, main, sure, n_telling in zip(segments, whole.tolist(), whole_sure.tolist(), telling_in.tolist()):
+    for own, (_, places), main, sure, n_telling in zip(segments, composed, whole.tolist(), whole_sure.tolist(), telling_in.tolist()):
         if not n_telling:
             out.append(None)
             continue
         kinds = {s[3] for s in own if s[5]}
         if len(kinds) < 2:
             kinds = {main}
-        parts = [{"start": a, "length": b - a, "lang": names[k], "confidence": c} for a, b, k, c in _joined(own, main, kinds)]
-        out.append({"lang": names[main], "confidence": sure, "languages": [names[main]] if len(kinds) == 1 else sorted(names[k] for k in kinds), "segments": parts})
+        found = {"lang": names[main], "confidence": sure, "languages": [names[main]] if len(kinds) == 1 else sorted(names[k] for k in kinds)}
+        if with_segments:
+            joined = _joined(own, main, kinds)
+            if places is not None:
+                joined = [(int(places[a]), int(places[b]), k, c) for a, b, k, c in joined]
+            found["segments"] = [{"start": a, "length": b - a, "lang": names[k], "confidence": c} for a, b, k, c in joined]
+        out.append(found)
     return pa.array(out, _RESULT)
 
 
-def language_of(text: Column, profiles: Profiles) -> Column:
+def language_of(text: Column, profiles: Profiles, with_segments: bool = True) -> Column:
     """``lang``, ``confidence``, ``languages`` and ``segments`` of a text; NULL where nothing in it tells a language.
 
-    ``segments`` cover the text (in composed form) in order. NULL, empty and wordless texts give NULL.
+    ``segments`` cover the text, as it is stored, in order; without ``with_segments`` they are NULL. NULL, empty and
+    wordless texts give NULL.
     """
 
     def detect(texts: pa.Array) -> pa.Array:
-        return identify(texts.to_pylist(), profiles)
+        return identify(texts.to_pylist(), profiles, with_segments)
 
     detect.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     # marked so that a filter on the result doesn't have it found a second time

@@ -19,13 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from candlewright.llm.parts import codes, parts
+from candlewright.session import checkpointed
+
 #: Words that a passage has to have in common with an item.
 RUN = 12
 #: Word edits that a passage may have.
 BUDGET = 2
-#: Items looked up in one pass over the corpus; more items take more passes. Bounds what is sent to the tasks.
-ITEMS_A_PASS = 20_000
-#: Characters of text handled at a time, and passages verified at a time.
+#: Items, and bytes of their texts, looked up in one pass over the corpus; more take more passes. Bounds what is sent to the tasks.
+ITEMS_A_PASS, BYTES_A_PASS = 20_000, 16_000_000
+#: Characters of text handled at a time, and words of passages verified at a time.
 CHUNK, VERIFIED = 400_000, 200_000
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -52,28 +55,33 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return kind, folded
 
 
-def _parts(text: str) -> Iterator[str]:
-    """``text`` in parts of at most ``CHUNK`` characters, cut at a blank, or inside an endless word."""
-    start = 0
-    while len(text) - start > CHUNK:
-        cut = text.rfind(" ", start + CHUNK // 2, start + CHUNK) + 1 or start + CHUNK
-        yield text[start:cut]
-        start = cut
-    yield text[start:]
+@lru_cache(maxsize=1)
+def _gaps() -> np.ndarray:
+    """Whether each character up to the end of plane 1 holds nothing of a word, in any of its forms."""
+    kind, _ = _tables()
+    gap = kind == 0
+    for code in np.flatnonzero(gap):
+        if not 0xD800 <= code < 0xE000:
+            gap[code] = all(kind[min(ord(c), 0x1FFFF)] == 0 for c in unicodedata.normalize("NFKD", chr(code)))
+    return gap
+
+
+def _between_words(code: np.ndarray) -> np.ndarray:
+    return (code < 0x20000) & _gaps()[np.minimum(code, 0x1FFFF)]
 
 
 def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The words of texts as 64-bit codes, and the number of each word's text.
 
     Words are the longest runs of letters and digits; letter case, accents, compatibility and composition forms,
-    and invisible format characters make no difference. A word of more than ``CHUNK`` characters counts as several.
+    and invisible format characters make no difference.
     """
-    codes, numbers, group, owner, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [], [], 0
+    words, numbers, group, owner, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [], [], 0
     for i, text in enumerate(texts):
-        for part in _parts(text) if len(text) > CHUNK else (text,):
+        for _, part in parts(text, CHUNK, _between_words):
             if held and held + len(part) > CHUNK:
                 code, place = _words(group)
-                codes.append(code)
+                words.append(code)
                 numbers.append(np.array(owner)[place])
                 group, owner, held = [], [], 0
             group.append(part)
@@ -81,16 +89,16 @@ def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             held += len(part) + 1
     if group:
         code, place = _words(group)
-        codes.append(code)
+        words.append(code)
         numbers.append(np.array(owner)[place])
-    return np.concatenate(codes), np.concatenate(numbers)
+    return np.concatenate(words), np.concatenate(numbers)
 
 
 def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     kind_of, folded_of = _tables()
     forms = [t if t.isascii() else unicodedata.normalize("NFKD", t) for t in texts]
     ends = np.cumsum([len(t) + 1 for t in forms])
-    code = np.frombuffer(("\n".join(forms) + "\n").encode("utf-32-le", "replace"), dtype="<u4")
+    code = codes("\n".join(forms) + "\n")
     inside = np.minimum(code, 0x1FFFF)
     kind = np.where(code < 0x20000, kind_of[inside], np.where(code < 0xE0000, 1, 2)).astype(np.uint8)
     symbol = np.where(code < 0x20000, folded_of[inside], code)
@@ -191,19 +199,22 @@ def _verified(index: PieceIndex, words: np.ndarray, text_no: np.ndarray, hit: np
 def _search(index: PieceIndex, texts: list[str]) -> pd.DataFrame:
     """``text, item, distance, n_passages`` of the texts that hold passages of items."""
     words, text_no = words_of(texts)
-    codes = _chained(words, index.piece)
-    low = np.searchsorted(index.pieces, codes)
+    chained = _chained(words, index.piece)
+    low = np.searchsorted(index.pieces, chained)
     at = np.minimum(low, max(len(index.pieces) - 1, 0))
-    hits = np.flatnonzero((index.pieces[at] == codes) & (text_no[: len(codes)] == text_no[index.piece - 1 :])) if len(index.pieces) and len(codes) else []
-    parts = []
+    some = len(index.pieces) and len(chained)
+    hits = np.flatnonzero((index.pieces[at] == chained) & (text_no[: len(chained)] == text_no[index.piece - 1 :])) if some else []
+    verified = []
     if len(hits):
         low = low[hits]
-        many = np.searchsorted(index.pieces, codes[hits], side="right") - low
-        hit = np.repeat(hits, many)
-        item_at = index.at[np.repeat(low, many) + np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many)]
+        many = np.searchsorted(index.pieces, chained[hits], side="right") - low  # items at each hit
+        upto = np.cumsum(many)
         step = max(VERIFIED // index.run, 1)
-        parts = [_verified(index, words, text_no, hit[k : k + step], item_at[k : k + step]) for k in range(0, len(hit), step)]
-    found = pd.concat(parts) if parts else pd.DataFrame({"text": [], "item": [], "passage": [], "distance": []}, dtype="int64")
+        for k in range(0, int(upto[-1]), step):
+            pair = np.arange(k, min(k + step, int(upto[-1])))
+            h = np.searchsorted(upto, pair, side="right")
+            verified.append(_verified(index, words, text_no, hits[h], index.at[low[h] + pair - (upto[h] - many[h])]))
+    found = pd.concat(verified) if verified else pd.DataFrame({"text": [], "item": [], "passage": [], "distance": []}, dtype="int64")
     return found.groupby(["text", "item"], as_index=False).agg(distance=("distance", "min"), n_passages=("passage", "nunique"))
 
 
@@ -230,22 +241,24 @@ def _searcher(index, item_type: pa.DataType, doc_type: pa.DataType):
                         ids.slice(low, high - low).take(pa.array(found["text"].to_numpy(dtype=np.int64))).cast(doc_type),
                         pa.array([pieces.ids[i] for i in found["item"]], item_type),
                         pa.array(found["distance"].to_numpy(dtype=np.int32)),
+                        pa.array(np.minimum(pieces.n_words[found["item"].to_numpy(dtype=np.int64)], pieces.run).astype(np.int32)),
                         pa.array(found["n_passages"].to_numpy(dtype=np.int32)),
                     ],
-                    names=["doc_id", "item_id", "distance", "n_passages"],
+                    names=["doc_id", "item_id", "distance", "n_words", "n_passages"],
                 )
 
     return search
 
 
 def leaks(documents: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, run: int = RUN, budget: int = BUDGET) -> DataFrame:
-    """``doc_id, item_id, distance, n_passages``: the documents that hold a passage of an item.
+    """``doc_id, item_id, distance, n_words, n_passages``: the documents that hold a passage of an item.
 
-    A passage is ``run`` consecutive words of the item, or all words of a shorter one; the document holds it where
-    it has a stretch at most ``budget`` word edits away. ``distance`` is the least of these over the item's passages
-    (0: a passage word by word), ``n_passages`` how many of them the document holds.
+    A passage is ``run`` consecutive words of the item, or all words of a shorter one, ``n_words`` in number; the
+    document holds it where it has a stretch at most ``budget`` word edits away. ``distance`` is the least of these over
+    the item's passages (0: a passage word by word), ``n_passages`` how many of them the document holds.
 
-    Items are looked up in passes of about ``ITEMS_A_PASS``, each over the whole corpus. No document is moved.
+    Items are looked up in passes of about ``ITEMS_A_PASS`` items or ``BYTES_A_PASS``, each over the whole corpus; of more
+    than one, each is finished and its items are released before the next. No document is moved.
 
     Defined results: NULL texts, texts without words, and items shorter than a piece hold nothing; rows with a
     NULL id come out with it; of repeated rows or ids, the least distance and the most passages count; empty tables
@@ -256,15 +269,22 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str, text: str, item_i
     spark = documents.sparkSession
     item_kind, doc_kind = items.schema[item_id].dataType, documents.schema[doc_id].dataType
     wanted = items.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")).where("text IS NOT NULL").distinct()
-    passes = max(ceil(wanted.count() / ITEMS_A_PASS), 1)
+    size = wanted.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    passes = max(ceil(size.n / ITEMS_A_PASS), ceil(size.bytes / BYTES_A_PASS), 1)
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    schema = f"doc_id {doc_kind.simpleString()}, item_id {item_kind.simpleString()}, distance int, n_passages int"
+    schema = f"doc_id {doc_kind.simpleString()}, item_id {item_kind.simpleString()}, distance int, n_words int, n_passages int"
     found = []
     for k in range(passes):
-        held = wanted.where(F.pmod(F.xxhash64("id", "text"), F.lit(passes)) == k).collect()  # about ITEMS_A_PASS of them
+        held = wanted.where(F.pmod(F.xxhash64("id", "text"), F.lit(passes)) == k).collect()  # about BYTES_A_PASS at most
         index = spark.sparkContext.broadcast(PieceIndex([r.id for r in held], [r.text for r in held], run, budget))
-        found.append(rows.mapInArrow(_searcher(index, to_arrow_type(item_kind), to_arrow_type(doc_kind)), schema))
+        hits = rows.mapInArrow(_searcher(index, to_arrow_type(item_kind), to_arrow_type(doc_kind)), schema)
+        if passes > 1:
+            hits = checkpointed(hits)
+            index.destroy()
+        found.append(hits)
     union = found[0]
     for more in found[1:]:
         union = union.unionByName(more)
-    return union.groupBy("doc_id", "item_id").agg(F.min("distance").alias("distance"), F.max("n_passages").alias("n_passages"))
+    best = F.min(F.struct("distance", (-F.col("n_words")).alias("fewer"))).alias("best")
+    by_pair = union.groupBy("doc_id", "item_id").agg(best, F.max("n_passages").alias("n_passages"))
+    return by_pair.select("doc_id", "item_id", "best.distance", (-F.col("best.fewer")).alias("n_words"), "n_passages")

@@ -35,33 +35,51 @@ def sized_documents(documents: DataFrame, targets: DataFrame, doc_id: str, sourc
     return sized.withColumn("hash", F.shiftrightunsigned(F.xxhash64("id"), 64 - _BITS))
 
 
-def plan_mixture(sized: DataFrame, targets: DataFrame) -> DataFrame:
-    """One row per target: ``source, target_share, max_repeats, available, wanted, is_short, whole, threshold``.
+def _histogram(sized: DataFrame) -> DataFrame:
+    """Tokens by source and first bits of the hash: at most 2**LEVEL_BITS rows a source."""
+    bucket = F.shiftright(F.col("hash"), _BITS - LEVEL_BITS).alias("bucket")
+    return checkpointed(sized.groupBy("source", bucket).agg(F.sum("n_tokens").alias("tokens")))
 
-    ``available`` is the source's tokens, ``wanted`` its share of all of them together, ``is_short`` whether
-    even ``max_repeats`` uses fall short. Documents are used ``whole`` times, those with a hash below ``threshold``
-    once more. The tokens chosen miss the budget by at most half the tokens of one document (or of the documents
-    with one hash).
-    """
+
+def _budgets(counts: DataFrame, targets: DataFrame) -> DataFrame:
     goals = targets.where("source IS NOT NULL").groupBy("source").agg(
         F.sum("target_share").alias("target_share"), F.max("max_repeats").cast("bigint").alias("max_repeats")
     )
-    bucket = F.shiftright(F.col("hash"), _BITS - LEVEL_BITS).alias("bucket")
-    counts = sized.groupBy("source", bucket).agg(F.sum("n_tokens").alias("tokens"))
-    counts = checkpointed(counts)  # at most 2**LEVEL_BITS rows a source
     sums = counts.groupBy("source").agg(F.sum("tokens").alias("available"))
     total = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).scalar()
     repeats = F.greatest(F.coalesce(F.col("max_repeats"), F.lit(1)), F.lit(0))
     wanted = F.coalesce(F.col("target_share"), F.lit(0.0)) * total
     most = repeats * F.col("available")
-    budget = F.least(F.floor("wanted"), most)
-    plan = (
+    return (
         goals.join(sums, "source", "left")
         .withColumn("available", F.coalesce("available", F.lit(0)).cast("bigint"))
         .withColumn("wanted", wanted)
         .withColumn("is_short", most < F.col("wanted"))
-        .withColumn("whole", F.when(F.col("available") > 0, F.floor(budget / F.col("available"))).otherwise(0).cast("bigint"))
-        .withColumn("rest", (budget - F.col("whole") * F.col("available")).cast("bigint"))
+        .withColumn("budget", F.least(F.floor("wanted"), most))
+    )
+
+
+def source_budgets(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """One row per target: ``source, target_share, max_repeats, available, wanted, is_short, budget``.
+
+    ``available`` is the source's tokens, ``wanted`` its share of all of them together, ``is_short`` whether
+    even ``max_repeats`` uses fall short, ``budget`` what can be used. The first histogram tells all of it.
+    """
+    return _budgets(_histogram(sized), targets)
+
+
+def plan_mixture(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """The rows of ``source_budgets`` with ``whole`` and ``threshold``, which say what to use.
+
+    Documents are used ``whole`` times, those with a hash below ``threshold`` once more. The tokens chosen miss the
+    budget by at most half the tokens of one document (or of the documents with one hash).
+    """
+    counts = _histogram(sized)
+    budgets = _budgets(counts, targets)
+    whole = F.when(F.col("available") > 0, F.floor(F.col("budget") / F.col("available"))).otherwise(0).cast("bigint")
+    plan = (
+        budgets.withColumn("whole", whole)
+        .withColumn("rest", (F.col("budget") - F.col("whole") * F.col("available")).cast("bigint"))
         .withColumn("threshold", F.lit(0).cast("bigint"))
     )
     plan = checkpointed(plan)
@@ -88,7 +106,7 @@ def plan_mixture(sized: DataFrame, targets: DataFrame) -> DataFrame:
             .withColumn("rest", left)
             .drop("__taken", "__edge", "__beyond")
         )
-    return plan.drop("rest")
+    return plan.drop("rest", "budget")
 
 
 def mixture(sized: DataFrame, plan: DataFrame) -> DataFrame:

@@ -12,11 +12,12 @@ from candlewright.functions.times import micros
 from candlewright.llm.cooccurrence import cooccurrences
 from candlewright.llm.language import language_of, sampled_profiles
 from candlewright.llm.leakage import leaks
+from candlewright.llm.mentions import MENTIONS_SQL, message_coins
 from candlewright.llm.mixing import mixture, mixture_report, plan_mixture, sized_documents
 from candlewright.llm.nearest_time import nearest_in_time
 from candlewright.llm.splitting import split_oversized
 from candlewright.operators.channels import with_username
-from candlewright.plans.feeds import MENTIONS_SQL, MESSAGE, NAMED_SQL, message_coins, named_messages
+from candlewright.plans.feeds import MESSAGE, NAMED_SQL, named_messages
 from candlewright.session import checkpointed
 from candlewright.sources.tables import read_table
 
@@ -43,30 +44,33 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return p4_pairs(spark, folder).where(often).select("coin_a", "coin_b")
 
 
-def _messages_with_language(spark: SparkSession, folder: str) -> DataFrame:
+def _messages_with_language(spark: SparkSession, folder: str, with_segments: bool, least: int = 0) -> DataFrame:
     profiles = sampled_profiles(read_table(spark, folder, "language_samples"), "lang", "text")
-    rows = named_messages(spark, folder).where(F.length(strip(F.col("message_text"))) >= 20)
-    found = language_of(F.col("message_text"), profiles)
-    return rows.select(*MESSAGE, "language", "message_text", found.alias("found")).where("found IS NOT NULL")
+    rows = named_messages(spark, folder)
+    if least:
+        rows = rows.where(F.length(strip(F.col("message_text"))) >= least)
+    found = language_of(F.col("message_text"), profiles, with_segments)
+    return rows.select(*MESSAGE, "language", found.alias("found"))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Languages of the messages that hold several, or whose label is missing or another."""
-    rows = _messages_with_language(spark, folder).select(*MESSAGE, "language", "found.languages")
+    """Languages of the messages that hold several, or whose label is missing or another; shorter texts are no case."""
+    found = _messages_with_language(spark, folder, with_segments=True, least=20).where("found IS NOT NULL")
+    rows = found.select(*MESSAGE, "language", "found.languages")
     label = F.lower(F.substring(F.coalesce("language", F.lit("")), 1, 2))
     case = (F.size("languages") > 1) | (label != F.element_at("languages", 1))
     return rows.where(case).select(*MESSAGE, F.explode("languages").alias("lang")).distinct()
 
 
 def p5_languages(spark: SparkSession, folder: str) -> DataFrame:
-    """Language and confidence of every stored row whose text tells one."""
-    rows = _messages_with_language(spark, folder)
+    """Language and confidence of every stored row, NULL where its text tells none."""
+    rows = _messages_with_language(spark, folder, with_segments=False)
     return rows.select(*MESSAGE, "found.lang", "found.confidence", F.array_join("found.languages", ",").alias("languages"))
 
 
 def p5_segments(spark: SparkSession, folder: str) -> DataFrame:
-    """Segments of the messages that hold several languages, each with its language and confidence."""
-    rows = _messages_with_language(spark, folder).where(F.size("found.languages") > 1)
+    """Segments of the messages that hold several languages, each with its language and confidence, at its place in the stored text."""
+    rows = _messages_with_language(spark, folder, with_segments=True).where(F.size("found.languages") > 1)
     rows = rows.select(*MESSAGE, F.posexplode("found.segments").alias("segment_no", "s"))
     return rows.select(*MESSAGE, "segment_no", "s.start", "s.length", "s.lang", "s.confidence")
 
@@ -78,7 +82,7 @@ def p7_leaks(spark: SparkSession, folder: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold 12 consecutive words of a test item, word by word."""
-    return p7_leaks(spark, folder).where("distance = 0").select("doc_id", "item_id")
+    return p7_leaks(spark, folder).where("distance = 0 AND n_words >= 12").select("doc_id", "item_id")
 
 
 def p7_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,11 +91,16 @@ def p7_items(spark: SparkSession, folder: str) -> DataFrame:
     return found.agg(F.count(F.lit(1)).alias("n_documents"), F.count_if(F.col("distance") == 0).alias("n_exact"), F.max("n_passages").alias("most_passages"))
 
 
-def _mixing(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def _sized(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     targets = read_table(spark, folder, "mix_targets")
     documents = read_table(spark, folder, "documents").select("doc_id", "source", "text")
     named = with_username(documents, read_table(spark, folder, "telegram_channels"), "source")
-    sized = checkpointed(sized_documents(named, targets, "doc_id", "username", "text"))
+    return sized_documents(named, targets, "doc_id", "username", "text"), targets
+
+
+def _mixing(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    sized, targets = _sized(spark, folder)
+    sized = checkpointed(sized)
     return sized, plan_mixture(sized, targets)
 
 
@@ -110,14 +119,19 @@ def p8_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixture(*_mixing(spark, folder)).withColumnRenamed("id", "doc_id")
 
 
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, folder, "documents").select("doc_id", "text")
+
+
 def p9_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in pieces of at most 1,500 tokens, neighbours overlapping by 100."""
-    return split_oversized(read_table(spark, folder, "documents").select("doc_id", "text"), "text", limit=1500, overlap=100).drop("text")
+    return split_oversized(_documents(spark, folder), "text", limit=1500, overlap=100).drop("text")
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents that had to be cut."""
-    return p9_pieces(spark, folder).where("n_pieces > 1 AND piece_no = 0").select("doc_id")
+    """Documents that had to be cut; sizes of the others aren't wanted."""
+    pieces = split_oversized(_documents(spark, folder), "text", limit=1500, overlap=100, sized=False)
+    return pieces.where("n_pieces > 1 AND piece_no = 0").select("doc_id")
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p4_found, p4_pairs, p5_found, p5_languages, p5_segments, p7_found, p7_leaks, p7_items, p8_found, p8_report, p8_mixture, p9_found, p9_pieces)}

@@ -1,7 +1,8 @@
 """Cutting oversized texts at natural boundaries.
 
 A text is read as a tree: sections under headings, blocks between blank lines, lines and list items, sentences,
-words. Nodes that fit are packed with their siblings up to the limit; only nodes that don't fit are opened.
+words. Sibling nodes that fit are merged up to the limit; only nodes that don't fit are opened, and what comes out of
+one is merged with its own siblings only. A heading stays with what follows it.
 """
 
 from __future__ import annotations
@@ -27,6 +28,12 @@ CUTS = [
     re.compile(r"\s+"),
 ]
 
+#: A heading with nothing but blanks after it, at the end of a stretch of text, and one at the start.
+_HEADING_BEFORE = re.compile(r"(?:^|\n)[ \t]*(?:(#{1,6})[ \t][^\n]*|<h([1-6])[ >][^\n]*)\s*\Z", re.IGNORECASE)
+_HEADING_AFTER = re.compile(r"[ \t]*(?:(#{1,6})[ \t]|<h([1-6])[ >])", re.IGNORECASE)
+#: A heading is looked for in so many characters before a cut.
+_HEADING_CHARS = 400
+
 #: A token may end inside a character; a cut then moves by up to this many tokens.
 SLACK = 4
 
@@ -53,28 +60,49 @@ class _Sizes:
         return int(self.token_at[place])
 
 
-def _pack(text: str, sizes: _Sizes, start: int, end: int, depth: int, limit: int) -> list[tuple[int, int]]:
-    """Pieces of ``start`` to ``end`` (places) of at most ``limit`` tokens, packed from the children at ``depth``."""
+def _level(heading: re.Match | None) -> int:
+    """1 to 6, from the greatest heading to the least; 7 where there is none."""
+    return 7 if heading is None else len(heading[1]) if heading[1] else int(heading[2])
+
+
+def _splits_heading(text: str, low: int, at: int) -> bool:
+    """Whether a cut at ``at`` would part a heading from what belongs under it."""
+    before = _level(_HEADING_BEFORE.search(text, max(low - 1, at - _HEADING_CHARS, 0), at))
+    return before < _level(_HEADING_AFTER.match(text, at))
+
+
+def _children(text: str, sizes: _Sizes, start: int, end: int, depth: int) -> list[tuple[int, int]]:
+    """The children of a node (places) at ``depth``, each from where a cut ends to the next; a heading alone is none."""
+    low, high = int(sizes.char_at[start]), int(sizes.char_at[end])
+    edges = [start]
+    for cut in CUTS[depth].finditer(text, low, high):
+        edge = sizes.snap(cut.end())
+        if edges[-1] < edge < end and not _splits_heading(text, low, cut.end()):
+            edges.append(edge)
+    return list(zip(edges, [*edges[1:], end]))
+
+
+def _pieces(text: str, sizes: _Sizes, start: int, end: int, depth: int, limit: int) -> list[tuple[int, int]]:
+    """The pieces of a node that is over the limit: its children merged with their siblings, or their own pieces."""
     tokens = sizes.tokens_to
-    if tokens(end) - tokens(start) <= limit:
-        return [(start, end)]
     if depth == len(CUTS):  # one endless word
         cuts, at = [start], start
         while tokens(end) - tokens(at) > limit:
             at = max(int(np.searchsorted(sizes.token_at, tokens(at) + limit, side="right")) - 1, at + 1)
             cuts.append(at)
         return list(zip(cuts, [*cuts[1:], end]))
-    low, high = int(sizes.char_at[start]), int(sizes.char_at[end])
-    begins = [sizes.snap(m.end()) for m in CUTS[depth].finditer(text, low, high)]
-    edges = sorted({start, end, *(b for b in begins if start < b < end)})
-    packed: list[tuple[int, int]] = []
-    for child in zip(edges, edges[1:]):
-        for piece in _pack(text, sizes, *child, depth + 1, limit):
-            if packed and tokens(piece[1]) - tokens(packed[-1][0]) <= limit:
-                packed[-1] = (packed[-1][0], piece[1])
-            else:
-                packed.append(piece)
-    return packed
+    out: list[tuple[int, int]] = []
+    open_run = False  # whether the last piece is a run of siblings that the next one may join
+    for low, high in _children(text, sizes, start, end, depth):
+        if tokens(high) - tokens(low) > limit:
+            out += _pieces(text, sizes, low, high, depth + 1, limit)
+            open_run = False
+        elif open_run and tokens(high) - tokens(out[-1][0]) <= limit:
+            out[-1] = (out[-1][0], high)
+        else:
+            out.append((low, high))
+            open_run = True
+    return out
 
 
 def pieces_of(text: str, limit: int, overlap: int, path: str) -> list[tuple[int, int, int]]:
@@ -84,7 +112,7 @@ def pieces_of(text: str, limit: int, overlap: int, path: str) -> list[tuple[int,
         return [(0, len(text), len(tokens))]
     sizes = _Sizes(text, tokens, encoder(path)[1])
     out = []
-    for start, end in _pack(text, sizes, 0, len(sizes.token_at) - 1, 0, limit - overlap - SLACK):
+    for start, end in _pieces(text, sizes, 0, len(sizes.token_at) - 1, 0, limit - overlap - SLACK):
         if start:
             start = int(np.searchsorted(sizes.token_at, max(sizes.tokens_to(start) - overlap, 0), side="right")) - 1
         first, last = int(sizes.char_at[start]), int(sizes.char_at[end])
@@ -92,10 +120,10 @@ def pieces_of(text: str, limit: int, overlap: int, path: str) -> list[tuple[int,
     return out
 
 
-def pieces(text: Column, limit: int, overlap: int, path: str = VOCABULARY) -> Column:
+def pieces(text: Column, limit: int, overlap: int, path: str = VOCABULARY, sized: bool = True) -> Column:
     """The pieces of a text as an array of ``start, length`` (characters) and ``n_tokens``; NULL for NULL.
 
-    A text of at most ``limit`` bytes can't have more tokens than that; its ``n_tokens`` is left NULL, uncounted.
+    Unless ``sized``, a text of at most ``limit`` bytes, which can't have more tokens than that, is not encoded.
     """
 
     def split(texts: pa.Array) -> pa.Array:
@@ -103,7 +131,7 @@ def pieces(text: Column, limit: int, overlap: int, path: str = VOCABULARY) -> Co
         for t in texts.to_pylist():
             if t is None:
                 out.append(None)
-            elif len(t.encode("utf-8", "replace")) <= limit:
+            elif not sized and len(t.encode("utf-8", "replace")) <= limit:
                 out.append([{"start": 0, "length": len(t), "n_tokens": None}])
             else:
                 out.append([dict(zip(("start", "length", "n_tokens"), p)) for p in pieces_of(t, limit, overlap, path)])
@@ -114,12 +142,13 @@ def pieces(text: Column, limit: int, overlap: int, path: str = VOCABULARY) -> Co
     return F.arrow_udf(split, "array<struct<start: int, length: int, n_tokens: int>>").asNondeterministic()(text)
 
 
-def split_oversized(items: DataFrame, text: str, limit: int = 1500, overlap: int = 100, path: str = VOCABULARY) -> DataFrame:
+def split_oversized(items: DataFrame, text: str, limit: int = 1500, overlap: int = 100, path: str = VOCABULARY, sized: bool = True) -> DataFrame:
     """``items`` with one row per piece: ``piece_no`` from 0, ``n_pieces, start, n_tokens, piece``.
 
     Pieces have at most ``limit`` tokens, each but the first repeating the last ``overlap`` tokens before it (up
     to 3 more where a token ends inside a character). Texts within the limit are one piece. ``n_tokens`` counts
-    the text's own tokens; it is NULL where the text is too short to need counting.
+    the text's own tokens. Who wants the cuts alone can leave sizes out (``sized=False``): texts that their bytes show
+    to be within the limit then have no ``n_tokens``; all else stays the same.
 
     Defined results: a NULL text gives one row with a NULL piece and 0 pieces; an empty text one empty piece;
     repeated rows are split each; an empty table gives no rows; a column that has one of the new names is replaced.
@@ -127,7 +156,7 @@ def split_oversized(items: DataFrame, text: str, limit: int = 1500, overlap: int
     if not 0 <= overlap < limit - SLACK:
         raise ValueError("the overlap has to leave room for a piece's own tokens")
     new = ["piece_no", "n_pieces", "start", "n_tokens", "piece"]
-    cut = items.withColumn("__pieces", pieces(F.col(text), limit, overlap, path))
+    cut = items.withColumn("__pieces", pieces(F.col(text), limit, overlap, path, sized))
     rows = cut.select(
         *(F.col(c) for c in items.columns if c == text or c not in new),
         F.when(F.col("__pieces").isNull(), 0).otherwise(F.size("__pieces")).alias("__n"),

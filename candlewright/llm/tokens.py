@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -16,8 +17,9 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the pattern that cuts a text before its parts are encoded, as published with this kind of vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Texts beyond this many characters are encoded block by block; the encoder can't take endless runs of blanks.
-BLOCK_CHARS = 100_000
+#: Runs of blanks from this length on, which the encoder's pattern can't take, are encoded beside the rest of their text.
+LONG_BLANKS = 50_000
+_LONG_BLANKS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_BLANKS)
 
 
 @lru_cache(maxsize=4)
@@ -33,25 +35,22 @@ def encoder(path: str):
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), lengths
 
 
-def blocks(text: str) -> list[str]:
-    """``text`` in blocks of bounded length, cut before a word where one begins in the block's second half."""
-    out, start = [], 0
-    while len(text) - start > BLOCK_CHARS:
-        end = start + BLOCK_CHARS
-        at = text.rfind(" ", start + BLOCK_CHARS // 2, end)
-        if at > 0 and not text[at - 1].isspace():
-            end = at
-        out.append(text[start:end])
-        start = end
-    return [*out, text[start:]]
-
-
 def encode(text: str, path: str) -> list[int]:
-    """The tokens of a whole text; lone surrogates count as the replacement character."""
+    """The tokens of a whole text, whatever its length.
+
+    The pattern takes a run of blanks without its last, or a run at the end whole, as one part; nothing else that it
+    matches spans a place where blanks begin. So what is encoded piece by piece here has the tokens of the whole.
+    """
     encoding, _ = encoder(path)
-    if len(text) <= BLOCK_CHARS:
+    if len(text) < LONG_BLANKS:
         return encoding.encode_ordinary(text)
-    return [token for block in blocks(text) for token in encoding.encode_ordinary(block)]
+    tokens, at = [], 0
+    for run in _LONG_BLANKS.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        tokens += encoding.encode_ordinary(text[at : run.start()])
+        tokens += encoding._encode_single_piece(text[run.start() : end])
+        at = end
+    return tokens + encoding.encode_ordinary(text[at:])
 
 
 def token_count(text: Column, path: str = VOCABULARY) -> Column:

@@ -1,8 +1,10 @@
 """Queries of the subpackage: against their SQL, or against brute force over the smallest tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from candlewright.llm import queries
+from candlewright.llm.mentions import clean_coins
 from tests.helpers import duck_bag, spark_bag
 from tests.llm.test_texts import words
 
@@ -52,6 +54,20 @@ def test_p9_equals_counts_in_python(spark, data):
     assert {r.doc_id for r in queries.p9_found(spark, data).collect()} == want and want
 
 
+def test_clean_coins(spark):
+    df = spark.createDataFrame([(1, ["$btc", " #Eth ", "BTC", "", None, "$"]), (2, []), (3, None)], "i int, x array<string>")
+    assert [r[0] for r in df.orderBy("i").select(clean_coins(F.col("x"))).collect()] == [["BTC", "ETH"], [], []]
+
+
+def test_p5_tells_every_row_and_p9_every_size(spark, data):
+    languages = queries.p5_languages(spark, data)
+    assert languages.count() == spark.read.parquet(f"{data}/telegram_messages.parquet").count()
+    assert 0 < languages.where("lang IS NULL").count() < languages.count() / 5
+    pieces = queries.p9_pieces(spark, data)
+    assert pieces.where("n_tokens IS NULL AND n_pieces > 0").count() == 0 and pieces.where("n_tokens > 1500").count() == 0
+    assert {r[0] for r in pieces.where("n_pieces > 1").select("doc_id").collect()} == {r[0] for r in queries.p9_found(spark, data).collect()}
+
+
 def test_p5_rows_are_cases(spark, data):
     rows = {tuple(r) for r in queries.p5_found(spark, data).collect()}
     by_message = {}

@@ -7,12 +7,12 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from candlewright.llm import language, leakage, tokens
+from candlewright.llm import language, leakage
 from candlewright.llm.language import fit_profiles, identify, language_of, sampled_profiles
 from candlewright.llm.leakage import leaks
 from candlewright.llm.mixing import mixture, mixture_report, plan_mixture, sized_documents
-from candlewright.llm.splitting import split_oversized
-from candlewright.llm.tokens import VOCABULARY, blocks, encode, token_count
+from candlewright.llm.splitting import pieces_of, split_oversized
+from candlewright.llm.tokens import VOCABULARY, encode, encoder, token_count
 
 EN = "The market was quiet today and most traders are waiting for the weekly report."
 VI = "Thị trường hôm nay khá yên ắng và nhiều người đang chờ báo cáo tuần."
@@ -75,6 +75,37 @@ def test_very_long_text_in_parts(profiles, monkeypatch):
     assert of(profiles, "x" * 5000)[0] is None or of(profiles, "x" * 5000)[0]["lang"]
 
 
+def test_segments_cut_the_stored_text(profiles):
+    for written in (f"{EN} {VI} {ES}", f"{VI}\n{EN}\n{VI}", f"각하 Å {VI} {EN}"):
+        for text in (written, unicodedata.normalize("NFD", written)):
+            (got,) = of(profiles, text)
+            cut = [(s["lang"], text[s["start"] : s["start"] + s["length"]]) for s in got["segments"]]
+            assert "".join(t for _, t in cut).replace("\n", "") == text.replace("\n", "")
+            for lang, t in cut:
+                plain = unicodedata.normalize("NFC", t)
+                assert {"en": EN, "vi": VI, "es": ES}[lang] in plain
+            (bare,) = identify([text], profiles, with_segments=False).to_pylist()
+            assert bare == got | {"segments": None}
+
+
+@pytest.mark.parametrize("gap", ["\n", " ", "\t", "\u00a0"])
+def test_parts_of_a_long_text_cut_no_word(profiles, monkeypatch, gap):
+    whole = of(profiles, gap.join([EN] * 30))[0]
+    monkeypatch.setattr(language, "CHUNK", 333)
+    parted = of(profiles, gap.join([EN] * 30))[0]
+    assert parted["lang"] == whole["lang"] and parted["segments"][-1]["start"] + parted["segments"][-1]["length"] == len(gap.join([EN] * 30))
+    if gap == "\n":
+        assert parted == whole
+
+
+def test_fit_in_groups_equals_fit_at_once(spark, data, monkeypatch):
+    rows = [(r.lang, r.text) for r in spark.read.parquet(f"{data}/language_samples.parquet").collect()]
+    once = fit_profiles(rows)
+    monkeypatch.setattr(language, "CHUNK", 700)
+    grouped = fit_profiles(rows)
+    assert (once.gram == grouped.gram).all() and (once.rank == grouped.rank).all()
+
+
 def test_language_column_over_awkward_tables(spark, profiles):
     df = spark.createDataFrame([(EN, "clash"), (None, None), (EN, "clash")], "t string, lang string")
     assert [r.f and r.f.lang for r in df.select(language_of(F.col("t"), profiles).alias("f")).collect()] == ["en", None, "en"]
@@ -146,6 +177,34 @@ def test_leaks_in_passes_parts_and_empty_tables(spark, monkeypatch):
     assert searched(spark, [(1, long)], items[3:4]) == {(1, 3): 0}
 
 
+@pytest.mark.parametrize("gap", ["\n", "\t", "\u00a0", ".", "。", " ", "-"])
+def test_no_passage_is_lost_where_long_texts_are_parted(monkeypatch, gap):
+    monkeypatch.setattr(leakage, "CHUNK", 300)
+    passage = "alpha beta1 gamma délta epsilon ℃zeta eta theta™ iota kappa lambda mu".split()
+    index = leakage.PieceIndex([1], [" ".join(passage)], 12, 2)
+    for offset in range(0, 140):
+        text = gap.join(["xy"] * (offset // 3) + ["z" * (offset % 3 + 1)] + ["fill"] * 40 + passage + ["fill"] * 90)
+        found = leakage._search(index, [text])
+        assert found["distance"].tolist() == [0], offset
+    endless = "w" * 5000 + gap + gap.join(passage) + gap + "v" * 5000
+    assert leakage._search(index, [endless])["distance"].tolist() == [0]
+    assert len(leakage.words_of([endless])[0]) == 14
+
+
+def test_pieces_that_many_items_share(monkeypatch):
+    monkeypatch.setattr(leakage, "VERIFIED", 36)
+    items = [f"of the market and so on item{i} with words of its own that differ{i} from others{i}" for i in range(20)]
+    index = leakage.PieceIndex(list(range(20)), items, 12, 2)
+    found = leakage._search(index, ["x y of the market and so on " + items[7] + " of the market and so on", items[3]])
+    assert {(r.text, r.item) for r in found.itertuples() if r.distance == 0} == {(0, 7), (1, 3)}
+
+
+def test_passes_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "BYTES_A_PASS", 100)
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(15))) for i in range(5)]
+    assert searched(spark, [(i, items[i][1]) for i in range(5)], items) == {(i, i): 0 for i in range(5)}
+
+
 def test_short_items_match_whole(spark):
     items = [(1, "alpha beta gamma delta epsilon zeta")]
     docs = [(1, "x alpha beta gamma delta epsilon zeta y"), (2, "alpha beta gamma delta other zeta"), (3, "alpha beta gamma")]
@@ -156,9 +215,17 @@ def test_token_counts_and_blocks(spark):
     df = spark.createDataFrame([("hello world",), ("",), (None,), ("<|endoftext|>",)], "t string")
     got = [r[0] for r in df.select(token_count(F.col("t"))).collect()]
     assert got[1:3] == [0, None] and got[0] == len(encode("hello world", VOCABULARY)) and got[3] > 1
-    text = ("xin chào các bạn " * 20_000) + " " * 300_000 + "y" * 250_000
-    assert "".join(blocks(text)) == text and max(map(len, blocks(text))) <= tokens.BLOCK_CHARS
-    assert len(encode(text, VOCABULARY)) > 0
+    assert len(encode(" " * 900_000 + "y" * 250_000, VOCABULARY)) > 0 and len(encode("\n" * 2_000_000, VOCABULARY)) > 0
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", "\u00a0", "\r\n"])
+def test_long_texts_have_the_tokens_of_the_whole(blank):
+    whole = encoder(VOCABULARY)[0].encode_ordinary
+    long = blank.join(["giá", "BTC", "it's", "12.5%", "—ok"] * 30_000)
+    assert encode(long, VOCABULARY) == whole(long)
+    for gap in (49_999, 50_000, 60_001):
+        for text in ("a" + blank * gap + "b", blank * gap, "it" + blank * gap, blank * gap + "'s 5", "x" + blank * gap + " " + "\n" * gap + "y z"):
+            assert encode(text, VOCABULARY) == whole(text)
 
 
 TARGET = "source string, target_share double, max_repeats int, used string"
@@ -237,6 +304,35 @@ def test_pieces_cover_the_text_and_overlap(spark):
         assert own.startswith(("## Head", "Sentence"))
 
 
+def cut(text, limit=60, overlap=0):
+    at, out = 0, []
+    for start, length, _ in pieces_of(text, limit, overlap, VOCABULARY):
+        out.append(text[at : start + length])
+        at = start + length
+    assert "".join(out) == text
+    return out
+
+
+def test_fragments_stay_among_their_siblings_and_headings_with_their_text():
+    block = lambda name, n: " ".join(f"{name} line {i} of it." for i in range(n))
+    text = f"# A\n\n{block('a', 14)}\n\n# B\n\n{block('b', 2)}\n\n# C\n\n{block('c', 2)}\n\n# D\n\n## E\n\n{block('e', 20)}"
+    pieces = cut(text)
+    assert len(pieces) > 4 and sum(p.startswith("# B") and "# C" in p and "# D" not in p and "a line" not in p for p in pieces) == 1
+    assert not any("a line" in p and "b line" in p for p in pieces)
+    assert all(p.strip() not in ("# A", "# D", "## E", "# D\n\n## E") for p in pieces)
+    assert [p for p in pieces if p.startswith("# D\n\n## E\n\ne line 0")]
+    flat = "\n\n".join(f"## heading number {i}" for i in range(60))
+    assert all(p.startswith("## heading") for p in cut(flat))
+    assert all(p.startswith("<h2>") for p in cut("\n".join(f"<h2>part {i}</h2>\ntext of part {i} here" for i in range(40))))
+
+
+def test_sizes_are_counted_unless_left_out(spark):
+    df = spark.createDataFrame([(1, "two words", None, None), (2, VI * 40, None, None)], SPLIT)
+    sized, bare = (sorted(split_oversized(df, "text", 300, 40, sized=s).collect()) for s in (True, False))
+    assert sized[0].n_tokens == len(encode("two words", VOCABULARY)) and bare[0].n_tokens is None
+    assert [r.asDict() | {"n_tokens": 0} for r in sized] == [r.asDict() | {"n_tokens": 0} for r in bare]
+
+
 def test_pieces_of_nothing_and_bad_parameters(spark):
     empty = spark.createDataFrame([], SPLIT)
     assert split_oversized(empty, "text").count() == 0
