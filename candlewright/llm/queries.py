@@ -13,7 +13,7 @@ from candlewright.llm.cooccurrence import cooccurrences
 from candlewright.llm.language import language_of, sampled_profiles
 from candlewright.llm.leakage import leaks
 from candlewright.llm.mentions import MENTIONS_SQL, message_coins
-from candlewright.llm.mixing import mixture, mixture_report, plan_mixture, sized_documents
+from candlewright.llm.mixing import mixture, mixture_report, plan_mixture, sized_documents, source_budgets
 from candlewright.llm.nearest_time import nearest_in_time
 from candlewright.llm.splitting import split_oversized
 from candlewright.operators.channels import with_username
@@ -106,7 +106,7 @@ def _mixing(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     """Sources that fall short of their share however often they may be used."""
-    return _mixing(spark, folder)[1].where("is_short").select("source")
+    return source_budgets(*_sized(spark, folder)).where("is_short").select("source")
 
 
 def p8_report(spark: SparkSession, folder: str) -> DataFrame:
