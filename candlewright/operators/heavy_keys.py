@@ -2,8 +2,8 @@
 
 Rows are range-partitioned on the key *and* the order within it, at quantiles that Spark samples, so a heavy
 key is spread over as many tasks as its rows deserve. Each task folds its sorted run of every key into one
-partial state; the states of a key that crosses a boundary are then stitched in order. Only the states, about
-one per key and partition, are shuffled by key.
+partial state; the states of a key that crosses a boundary are then stitched in order. Only the states, one
+per key and partition (two where the key has untimed rows), are shuffled by key.
 """
 
 from __future__ import annotations
@@ -27,46 +27,92 @@ def _changes(column: pa.Array) -> np.ndarray:
     return codes[1:] != codes[:-1]
 
 
+def _runs(batch: pa.RecordBatch, n_keys: int, quiet_us: int) -> pa.RecordBatch:
+    """One state for each run of a key, timed or untimed, in a batch that is sorted by keys and time."""
+    keys = [batch.column(i) for i in range(n_keys)]
+    t = pc.fill_null(batch.column(n_keys), _NONE).to_numpy()
+    known = t != _NONE
+    change = known[1:] != known[:-1]
+    for key in keys:
+        change |= _changes(key)
+    starts = np.concatenate(([0], np.flatnonzero(change) + 1))
+    ends = np.append(starts[1:], len(t)) - 1
+    step = np.full(len(t), -1, dtype=np.int64)
+    step[1:] = t[1:] - t[:-1]
+    step[starts] = -1
+    step[~known] = -1
+    return pa.RecordBatch.from_arrays(
+        [key.take(pa.array(starts)) for key in keys]
+        + [
+            pa.array(ends - starts + 1),
+            pa.array(t[starts], mask=~known[starts]),
+            pa.array(t[ends], mask=~known[starts]),
+            pa.array(np.maximum.reduceat(step, starts)),
+            pa.array(np.add.reduceat((step > quiet_us).astype(np.int64), starts)),
+        ],
+        names=[*_names(n_keys), "n", "first_us", "last_us", "step_us", "quiet"],
+    )
+
+
+def _carried_on(run: dict, after: dict, n_keys: int, quiet_us: int) -> dict | None:
+    """A run with the one that comes right after it, if both are of one key."""
+    timed = run["first_us"] is not None
+    if any(run[k] != after[k] for k in _names(n_keys)) or timed != (after["first_us"] is not None):
+        return None
+    joined = run | {"n": run["n"] + after["n"], "last_us": after["last_us"], "quiet": run["quiet"] + after["quiet"]}
+    if timed:
+        seam = after["first_us"] - run["last_us"]
+        joined |= {"step_us": max(run["step_us"], after["step_us"], seam), "quiet": joined["quiet"] + (seam > quiet_us)}
+    return joined
+
+
+def _names(n_keys: int) -> list[str]:
+    return [f"k{i}" for i in range(n_keys)]
+
+
 def _fold_runs(n_keys: int, quiet_us: int):
-    """Arrow batches sorted by keys and ``__t`` to one state for each run of a key."""
+    """A task's Arrow batches, sorted by keys and time, to one state for each run of a key, whatever the batches' bounds."""
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
+
+        def numbered(runs: pa.RecordBatch) -> pa.RecordBatch:
+            place = [pa.array(np.full(len(runs), part, dtype=np.int32)), pa.array(np.arange(seq, seq + len(runs)))]
+            at = n_keys
+            return pa.RecordBatch.from_arrays(
+                [*runs.columns[:at], *place, *runs.columns[at:]], names=[*runs.schema.names[:at], "part", "seq", *runs.schema.names[at:]]
+            )
+
+        last = None  # the batch's last run, which the next batch may carry on
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = [batch.column(i) for i in range(n_keys)]
-            timed = batch.column(n_keys)
-            t = pc.fill_null(timed, _NONE).to_numpy()
-            known = t != _NONE
-            change = known[1:] != known[:-1]
-            for key in keys:
-                change |= _changes(key)
-            starts = np.concatenate(([0], np.flatnonzero(change) + 1))
-            ends = np.append(starts[1:], len(t)) - 1
-            step = np.full(len(t), -1, dtype=np.int64)
-            step[1:] = t[1:] - t[:-1]
-            step[starts] = -1
-            step[~known] = -1
-            states = pa.RecordBatch.from_arrays(
-                [key.take(pa.array(starts)) for key in keys]
-                + [
-                    pa.array(np.full(len(starts), part, dtype=np.int32)),
-                    pa.array(np.arange(seq, seq + len(starts))),
-                    pa.array(ends - starts + 1),
-                    pa.array(t[starts], mask=~known[starts]),
-                    pa.array(t[ends], mask=~known[starts]),
-                    pa.array(np.maximum.reduceat(step, starts)),
-                    pa.array(np.add.reduceat((step > quiet_us).astype(np.int64), starts)),
-                ],
-                names=[f"k{i}" for i in range(n_keys)] + ["part", "seq", "n", "first_us", "last_us", "step_us", "quiet"],
-            )
-            seq += len(starts)
-            yield states
+            runs = _runs(batch, n_keys, quiet_us)
+            if last is not None:
+                joined = _carried_on(last.to_pylist()[0], runs.slice(0, 1).to_pylist()[0], n_keys, quiet_us)
+                first = last if joined is None else pa.RecordBatch.from_pylist([joined], schema=runs.schema)
+                rest = runs if joined is None else runs.slice(1)
+                runs = pa.Table.from_batches([first, rest]).combine_chunks().to_batches()[0]
+            last = runs.slice(len(runs) - 1)
+            if len(runs) > 1:
+                yield numbered(runs.slice(0, len(runs) - 1))
+                seq += len(runs) - 1
+        if last is not None:
+            yield numbered(last)
 
     return fold
 
 
+def _partial_states(ordered: DataFrame, n_keys: int, quiet_us: int, partitions: int | None) -> DataFrame:
+    """States of the keys in each of the range partitions of ``ordered``, whose columns are keys, ``__t`` and ties."""
+    by = ordered.columns
+    ranged = ordered.repartitionByRange(partitions, *by) if partitions else ordered.repartitionByRange(*by)
+    kinds = {f.name: f.dataType.simpleString() for f in ordered.schema.fields}
+    schema = ", ".join(f"{k} {kinds[k]}" for k in _names(n_keys))
+    schema += ", part int, seq bigint, n bigint, first_us bigint, last_us bigint, step_us bigint, quiet bigint"
+    return ranged.sortWithinPartitions(*by).select(*_names(n_keys), "__t").mapInArrow(_fold_runs(n_keys, quiet_us), schema)
+
+
 def key_profile(
     rows: DataFrame, keys: list[str], order: str, ties: list[str] | None = None, quiet_seconds: int = 3600, partitions: int | None = None
 ) -> DataFrame:
@@ -87,15 +133,8 @@ def key_profile(
         *(F.col(c).alias(f"__tie{i}") for i, c in enumerate(ties)),
         F.monotonically_increasing_id().alias("__at"),
     )
-    by = [c for c in ordered.columns]
-    ranged = ordered.repartitionByRange(partitions, *by) if partitions else ordered.repartitionByRange(*by)
-    names = [f"k{i}" for i in range(len(keys))]
-    kinds = {f.name: f.dataType.simpleString() for f in ordered.schema.fields}
-    schema = ", ".join(
-        [f"{k} {kinds[k]}" for k in names]
-        + ["part int", "seq bigint", "n bigint", "first_us bigint", "last_us bigint", "step_us bigint", "quiet bigint"]
-    )
-    states = ranged.sortWithinPartitions(*by).select(*names, "__t").mapInArrow(_fold_runs(len(keys), quiet_seconds * 1_000_000), schema)
+    names = _names(len(keys))
+    states = _partial_states(ordered, len(keys), quiet_seconds * 1_000_000, partitions)
     before = Window.partitionBy(*names).orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     seam = F.col("first_us") - F.last("last_us", ignorenulls=True).over(before)
     stitched = states.withColumn("seam_us", seam).groupBy(*names).agg(
