@@ -16,10 +16,10 @@ from candlewright.session import checkpointed
 
 #: Instants in a stretch of a source that gets factors of its own. It bounds the cells of a matrix row, whatever a source holds.
 STRETCH = 1024
-#: Partitions over which matrix rows are numbered, so that the numbers fit 31 bits: up to 2**27 rows in each.
-_NUMBERED_OVER = 16
-#: Matrix columns are numbered with 31 bits: instants of all period lengths together, from the first to the last reading.
-_MOST_COLUMNS = (1 << 31) - 1
+#: ALS takes row and column numbers below this.
+_MOST_NUMBERS = 1 << 31
+#: Cells of a block of the factorisation: as many blocks as there are cores, as long as each has the first number; more, where a block had more than the second.
+_FEW_CELLS, _MANY_CELLS = 50_000, 5_000_000
 
 
 def nearest_instant(at: Column, period_s: Column) -> Column:
@@ -62,13 +62,24 @@ def holes(cells: DataFrame, source: list[str], longest_s: int) -> DataFrame:
     return inner.unionByName(outer).where("after - before > 1").withColumn("is_halt", apart > longest_s)
 
 
-def _numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys`` with ``row_no``, a number below 2**31 of its own for each, the same whenever it is computed."""
-    spread = rows.repartition(_NUMBERED_OVER, *keys).sortWithinPartitions(*keys)
-    at = F.monotonically_increasing_id()
-    part, place = F.shiftright(at, 33), F.pmod(at, F.lit(1 << 33))
-    fits = F.when(place < (1 << 27), (part * (1 << 27) + place).cast("int"))
-    return spread.withColumn("row_no", F.coalesce(fits, F.raise_error(F.lit("too many matrix rows")).cast("int")))
+def _numbered(rows: DataFrame, out: str) -> DataFrame:
+    """Distinct ``rows`` with ``out``: numbers from 0 on without a hole, given in parallel, the same whenever they are read.
+
+    More rows than ALS has numbers are an error.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = checkpointed(rows.withColumns({"__part": F.spark_partition_id(), "__place": place}))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # over one row a partition
+    counts = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    number = F.col("__offset") + F.col("__place")
+    fitting = F.coalesce(F.when(number < _MOST_NUMBERS, number), F.raise_error(F.lit(f"too many numbers: {out}")).cast("bigint"))
+    return placed.join(F.broadcast(offsets), "__part").withColumn(out, fitting.cast("int")).drop("__part", "__place", "__offset")
+
+
+def _blocks(rows: DataFrame) -> int:
+    n, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    return max(2, min(cores, n // _FEW_CELLS), -(-n // _MANY_CELLS))
 
 
 def regular_grid(
@@ -91,7 +102,8 @@ def regular_grid(
     ``grid_s`` its first instant). ``n_periods`` is 1 for all others.
 
     Each row of the matrix is a stretch of a source, scaled by its own mean and deviation, so that one source
-    with most of the readings is many rows. Sources with different periods share no column.
+    with most of the readings is many rows. Sources with different periods share no column. Columns are the instants
+    that any source has a reading at; a stray instant adds one and changes nothing else.
 
     Defined results: readings without source, time, finite value, or known period play no part; repeated readings
     are one cell; a source with one reading has no holes; an empty table gives no rows; other columns play no part.
@@ -107,26 +119,18 @@ def regular_grid(
     scales = cells.groupBy(*keys, stretch).agg(
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("deviation"), F.count(F.lit(1)).alias("n_cells")
     )
-    matrix_rows = checkpointed(_numbered(scales, [*keys, "stretch"]))
-    # The few period lengths one after the other, each with the instants from its first to its last reading.
-    before = Window.orderBy("period_s").rowsBetween(Window.unboundedPreceding, -1)
-    lengths = cells.groupBy("period_s").agg(F.min("slot").alias("low"), F.max("slot").alias("high"))
-    lengths = lengths.withColumn("offset", F.coalesce(F.sum(F.expr("high - low + 1")).over(before), F.lit(0)) - F.col("low"))
-    matrix_rows = matrix_rows.join(lengths.select("period_s", "offset"), "period_s")
-
-    def placed(rows: DataFrame) -> DataFrame:
-        column = F.col("offset") + F.col("slot")
-        joined = rows.withColumn("stretch", stretch).join(matrix_rows, [*keys, "stretch"], "left")
-        return joined.withColumn("column_no", F.when(column < _MOST_COLUMNS, column).cast("int"))
+    matrix_rows = _numbered(scales, "row_no")
+    matrix_columns = _numbered(cells.select("period_s", "slot").distinct(), "column_no")
 
     scaled = F.coalesce((F.col("value") - F.col("mean")) / F.nullif("deviation", F.lit(0.0)), F.lit(0.0))
-    ratings = placed(cells).where("column_no IS NOT NULL").select("row_no", "column_no", scaled.cast("float").alias("rating"))
+    placed = cells.withColumn("stretch", stretch).join(matrix_rows, [*keys, "stretch"]).join(matrix_columns, ["period_s", "slot"])
+    ratings = checkpointed(placed.select("row_no", "column_no", scaled.cast("float").alias("rating")))
     empty = gaps.where("NOT is_halt").select(*keys, F.explode(F.sequence(F.expr("before + 1"), F.expr("after - 1"))).alias("slot"))
-    wanted = placed(empty)
+    wanted = empty.withColumn("stretch", stretch).join(matrix_rows, [*keys, "stretch"], "left").join(matrix_columns, ["period_s", "slot"], "left")
     if ratings.isEmpty():
         predicted = wanted.withColumn("prediction", F.lit(None).cast("float"))
     else:
-        blocks = max(2, min(200, int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+        blocks = _blocks(ratings)
         als = ALS(
             rank=rank, maxIter=iterations, regParam=regularisation, numUserBlocks=blocks, numItemBlocks=blocks, seed=7,
             userCol="row_no", itemCol="column_no", ratingCol="rating",
