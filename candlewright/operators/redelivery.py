@@ -1,8 +1,8 @@
 """Exactly one copy of each record that was delivered at least once.
 
 The identifiers are counted first, which moves only identifiers, pre-aggregated. Singletons then pass as they
-are; only repeated groups are ranked. A group that holds a large part of all copies is neither moved nor sorted
-in one task: it is reduced to its first copy on the map side.
+are; only repeated groups are ranked. A group that holds a large part of all copies meets its count by broadcast, so
+that its rows stay where they are until each task has ranked its own; only the tasks' first copies are moved.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A group of more than 1 in HOT of all rows counts as hot. There are fewer than HOT of those, whatever the size of the table.
-HOT = 1000
+HOT = 100_000
 
 
 def frequencies(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -40,27 +40,21 @@ def one_copy_each(stored: DataFrame, keys: list[str], order: list[str], new: Dat
     if new is not None:
         rows = rows.unionByName(new.drop(*extra).withColumn("delivery", F.lit(1)), allowMissingColumns=True)
     columns = rows.columns
-    hashed = [c for c, kind in rows.dtypes if c not in keys and "map<" not in kind and "variant" not in kind]
-    rows = rows.withColumn("__tie", F.xxhash64(*hashed))
-    by = ["delivery", *order, "__tie"]
-
-    counted = frequencies(rows, keys).withColumnsRenamed({k: f"__{k}" for k in keys} | {"copies": "__copies"})
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-    is_hot = (F.col("__copies") > 1) & (F.col("__copies") * HOT > total)
+    counted = frequencies(rows, keys).withColumnsRenamed({k: f"__{k}" for k in keys})
+    total = counted.agg(F.sum("copies")).scalar()
+    is_hot = (F.col("copies") > 1) & (F.col("copies") * HOT > total)
     hot = F.broadcast(counted.where(is_hot))  # fewer than HOT rows, by the condition
-    repeated = counted.where((F.col("__copies") > 1) & ~is_hot)
-
-    rest = rows.join(hot, _same(keys), "left_anti")
-    single = rest.join(repeated, _same(keys), "left_anti").drop("__tie").withColumn("copies", F.lit(1).cast("bigint"))
-
-    grouped = rest.join(repeated, _same(keys)).select(*columns, "__tie", F.col("__copies").alias("copies"))
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
-    ranked = grouped.withColumn("__place", place).where("__place = 1").drop("__place", "__tie")
-
-    in_hot = rows.join(hot, _same(keys), "left_semi")
-    others = [c for c in columns if c not in keys]
-    firsts = in_hot.groupBy(*keys).agg(
-        F.min_by(F.struct(*others), F.struct(*by)).alias("first"), F.count(F.lit(1)).alias("copies")
-    )
-    flat = firsts.select(*(F.col(c) if c in keys else F.col("first")[c].alias(c) for c in columns), "copies")
-    return single.unionByName(ranked).unionByName(flat)
+    repeated = counted.where((F.col("copies") > 1) & ~is_hot)
+
+    # both branches read the same join inputs, so that rows are moved once at most
+    rest = rows.join(hot, _same(keys), "left_anti").join(repeated, _same(keys), "left").select(*columns, "copies")
+    single = rest.where("copies IS NULL").withColumn("copies", F.lit(1).cast("bigint"))
+    in_hot = rows.join(hot, _same(keys)).select(*columns, "copies")
+    return single.unionByName(_first(rest.where("copies IS NOT NULL"), keys, order)).unionByName(_first(in_hot, keys, order))
+
+
+def _first(copies: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row of each group. Spark ranks within each task before it moves rows."""
+    hashed = [c for c, kind in copies.dtypes if c not in keys and "map<" not in kind and "variant" not in kind]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("delivery", *order, F.xxhash64(*hashed)))
+    return copies.withColumn("__place", place).where("__place = 1").drop("__place")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from candlewright.functions.times import period_seconds
 from candlewright.operators.channels import with_username
-from candlewright.operators.heavy_keys import heavy_keys, key_profile
+from candlewright.operators.heavy_keys import _partial_states, heavy_keys, key_profile
 from candlewright.operators.redelivery import one_copy_each
 from candlewright.operators.regular_grid import regular_grid
 from tests.helpers import spark_bag
@@ -60,6 +60,12 @@ def test_profile_spreads_a_heavy_key(spark):
     assert len(spread) == 8 and spread.max() < 2 * spread.mean()
 
 
+def test_one_state_for_each_key_and_partition(spark):
+    rows = spark.range(400_000).select(F.when(F.col("id") == 7, "cold").otherwise("hot").alias("k0"), F.col("id").alias("__t"))
+    states = _partial_states(rows, 1, 1, 4).groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("rows")).collect()
+    assert sorted(r.n for r in states) == [1, 1, 1, 2] and sum(r.rows for r in states) == 400_000
+
+
 def test_heavy_keys_take_the_bound(spark):
     df = spark.createDataFrame([("a",)] * 4 + [("b",)] * 96, "k string").withColumn("t", F.lit(T0).cast("timestamp_ntz"))
     assert {r.k for r in heavy_keys(key_profile(df, ["k"], "t"), df, "0.04").collect()} == {"a", "b"}
