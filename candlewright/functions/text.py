@@ -15,6 +15,9 @@ ASSETS = ["BTC", "ETH", "BNB", "SOL", "XRP", "ADA", "DOGE", "DOT", "AVAX", "MATI
 LANGUAGES = ["vi", "en"]
 LEAST_DETECTABLE = 20
 
+# Fixed value: what a preview shows where there is no text.
+NO_TEXT = "[Media/No Text]"
+
 #: A number as a kline may spell it; everything else becomes NULL instead of an error.
 NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
 
@@ -55,19 +58,9 @@ def safe_name(name: Column) -> Column:
 def preview(text: Column, length: int = 60) -> Column:
     """The first ``length`` characters on one line, or a note that there is no text."""
     cut = F.replace(F.substring(text, 1, length), F.lit("\n"), F.lit(" "))
-    return F.when(text != "", cut).otherwise("[Media/No Text]")
+    return F.when(text != "", cut).otherwise(NO_TEXT)
 
 
 def channel_or_id(username: Column, chat_id: Column) -> Column:
     """The user name, or the chat's id as text where the name is NULL or empty."""
     return F.coalesce(F.nullif(username, F.lit("")), chat_id.cast("string"))
-
-
-def clean_coins(coins: Column) -> Column:
-    """The distinct coins of an array of loosely written ones, in order; empty for NULL.
-
-    Elements are trimmed, lose one leading ``$`` or ``#`` and are upper-cased. NULL and empty ones go.
-    """
-    written = F.transform(coins, lambda c: F.upper(strip(F.regexp_replace(strip(c), r"^[$#]", ""))))
-    kept = F.filter(written, lambda c: c.isNotNull() & (c != ""))
-    return F.coalesce(F.array_sort(F.array_distinct(kept)), F.array().cast("array<string>"))

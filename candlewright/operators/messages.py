@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewright.functions.language import detect_language
+from candlewright.functions.language import Detector
 from candlewright.functions.text import extract_coins, route_language, strip
 
 #: Least length of a text after trimming, and how many messages a channel's scan takes.
@@ -13,18 +15,34 @@ LEAST_TEXT = 10
 SCAN_LIMIT = 5000
 
 
-def scan_window(messages: DataFrame, limit: int = SCAN_LIMIT, before: str | None = None, since: str | None = None) -> DataFrame:
+def _newest(messages: DataFrame, keys: list[str], by: list[Column], limit: int) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+    return messages.withColumn("__place", place).where(F.col("__place") <= limit).drop("__place")
+
+
+def scan_window(messages: DataFrame, limit: int | None = SCAN_LIMIT, before: str | None = None, since: str | None = None) -> DataFrame:
     """The newest ``limit`` messages of each channel by id, among those before and since the given instants.
 
-    The limit counts raw messages, before any check. Rows with equal ids are ordered by time, then by text.
+    The limit counts raw messages, before any check; None takes all of them. Rows with equal ids are ordered by time, then
+    by text. A channel's rows are spread over all tasks, which keep the newest of their own; these are then brought
+    together, in two steps where there are many tasks.
     """
     if before is not None:
         messages = messages.where(F.col("created_at") < F.lit(before).cast("timestamp_ntz"))
     if since is not None:
         messages = messages.where(F.col("created_at") >= F.lit(since).cast("timestamp_ntz"))
+    if limit is None:
+        return messages
     ties = [c for c in ("created_at", "message_text", "ingested_at") if c in messages.columns]
-    newest = Window.partitionBy("channel_name").orderBy(F.desc("id"), *(F.desc(c) for c in ties))
-    return messages.withColumn("__place", F.row_number().over(newest)).where(F.col("__place") <= limit).drop("__place")
+    by = [F.desc("id"), *(F.desc(c) for c in ties)]
+    columns = messages.columns
+    # copies of one row are told apart by where they come from
+    messages = messages.withColumn("__spread", F.xxhash64("id", *ties, F.spark_partition_id()))
+    salts = int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while salts > 1:
+        messages = _newest(messages.withColumn("__salt", F.pmod("__spread", F.lit(salts))), ["channel_name", "__salt"], by, limit)
+        salts = isqrt(salts) if salts > 64 else 1
+    return _newest(messages, ["channel_name"], by, limit).select(*columns)
 
 
 def resume(messages: DataFrame, marks: DataFrame, channel: str = "channel_name") -> DataFrame:
@@ -59,17 +77,18 @@ def checked_messages(messages: DataFrame, strict: bool = False) -> DataFrame:
     return with_default_metrics(messages).withColumn("reject_reason", message_error(strict))
 
 
-def enriched(messages: DataFrame, detected: Column | None = None) -> DataFrame:
-    """Add the coins named in the text and its routed language; ``detected`` replaces the built-in detector."""
+def enriched(messages: DataFrame, detector: Detector | None = None) -> DataFrame:
+    """Add the coins named in the text and its routed language, which stays NULL where no ``detector`` is given."""
     text = F.col("message_text")
-    found = detect_language(text) if detected is None else detected
+    found = F.lit(None).cast("string") if detector is None else detector.language_of(text)
     return messages.withColumns({"coins_mentioned": extract_coins(text), "language": route_language(text, found)})
 
 
-def split_messages(messages: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+def split_messages(messages: DataFrame, strict: bool = False, detector: Detector | None = None) -> tuple[DataFrame, DataFrame]:
     """Valid, enriched messages, and the rejected ones with their ``reject_reason``. The same for batch and stream."""
     checked = checked_messages(messages, strict)
-    return enriched(checked.where("reject_reason IS NULL").drop("reject_reason")), checked.where("reject_reason IS NOT NULL")
+    valid = checked.where("reject_reason IS NULL").drop("reject_reason")
+    return enriched(valid, detector), checked.where("reject_reason IS NOT NULL")
 
 
 def channel_counts(messages: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.functions.text import clean_coins
 from candlewright.functions.times import whole_seconds
 from candlewright.operators.channels import with_username
 from candlewright.sources.tables import read_table
@@ -25,24 +24,8 @@ named AS (
 )
 """
 
-#: The coins of each message, one row per message and coin, in DuckDB's SQL.
-MENTIONS_SQL = """
-mentions AS (
-  SELECT DISTINCT username, id, created_s, coin FROM (
-    SELECT username, id, created_s, upper(trim(regexp_replace(trim(c), '^[$#]', ''))) AS coin
-    FROM named, UNNEST(coins_mentioned) AS u(c)
-  ) WHERE coin IS NOT NULL AND coin <> ''
-)
-"""
-
 
 def named_messages(spark: SparkSession, folder: str) -> DataFrame:
     """All rows of telegram_messages with ``username`` and ``created_s``."""
     messages = read_table(spark, folder, "telegram_messages").withColumn("created_s", whole_seconds(F.col("created_at")))
     return with_username(messages, read_table(spark, folder, "telegram_channels"), "channel_name")
-
-
-def message_coins(spark: SparkSession, folder: str) -> DataFrame:
-    """Each message once, with its ``coins`` (distinct and in order; perhaps none)."""
-    rows = named_messages(spark, folder).select(*MESSAGE, clean_coins(F.col("coins_mentioned")).alias("coins"))
-    return rows.distinct()

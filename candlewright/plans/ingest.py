@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewright.functions.language import detect_language
+from candlewright.functions.language import Detector, fit_detector
 from candlewright.functions.text import ASSETS, channel_or_id, extract_coins, preview, route_language, safe_name
 from candlewright.operators import candles as C
 from candlewright.operators import messages as M
 from candlewright.operators import sinks as S
 from candlewright.operators.indicators import bollinger, indicators
 from candlewright.plans.feeds import named_messages
-from candlewright.session import use_utc
+from candlewright.session import shared_folder, use_utc
 from candlewright.sources.channels import concatenated
 from candlewright.sources.tables import read_table
 from candlewright.streaming import messages as stream
@@ -65,8 +64,12 @@ def language_route(spark: SparkSession, folder: str) -> DataFrame:
     return _messages(spark, folder).select(*ROW, route_language(F.col("message_text"), F.col("language")).alias("route"))
 
 
+def _detector(spark: SparkSession, folder: str) -> Detector:
+    return fit_detector(read_table(spark, folder, "language_samples"), "lang", "text")
+
+
 def detected_language(spark: SparkSession, folder: str) -> DataFrame:
-    return _messages(spark, folder).select(*ROW, detect_language(F.col("message_text")).alias("lang"))
+    return _messages(spark, folder).select(*ROW, _detector(spark, folder).language_of(F.col("message_text")).alias("lang"))
 
 
 def text_preview(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,7 +104,7 @@ def scrape_window(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scan_bounds(spark: SparkSession, folder: str) -> DataFrame:
-    return M.scan_window(_messages(spark, folder), limit=1 << 40, before=AS_OF, since=STORED_UNTIL).select(*ROW)
+    return M.scan_window(_messages(spark, folder), limit=None, before=AS_OF, since=STORED_UNTIL).select(*ROW)
 
 
 def resume_marks(spark: SparkSession, folder: str) -> DataFrame:
@@ -161,10 +164,9 @@ def insert_chunks(spark: SparkSession, folder: str) -> DataFrame:
 def stream_insert_ignore(spark: SparkSession, folder: str) -> DataFrame:
     """The messages table as a stream that is run until it is empty, and what its sink then holds."""
     use_utc(spark)
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    run = f"{shared}/stream-{uuid4()}" if shared else tempfile.mkdtemp(prefix="stream-")
+    run = f"{shared_folder(spark)}/stream-{uuid4()}"
     rows = stream.read_messages(spark, f"{folder}/telegram_messages.parquet")
-    query = stream.start(rows, f"{run}/sink", f"{run}/checkpoint", keys=["channel_name", "id"], once=True)
+    query = stream.start(rows, f"{run}/sink", f"{run}/checkpoint", keys=["channel_name", "id"], once=True, detector=_detector(spark, folder))
     query.awaitTermination()
     kept = spark.read.parquet(f"{run}/sink")
     return kept.select("channel_name", "id", "ingested_at", F.array_join("coins_mentioned", ",").alias("coins"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Names and types of the given tables' columns.
+
 _PRICE = T.DecimalType(20, 8)
 
 CHANNELS = T.StructType(
@@ -81,27 +83,6 @@ SCRAPE_CHECKPOINTS = T.StructType(
     ]
 )
 
-#: A raw kline: position 0 is epoch milliseconds, 1 to 5 are numbers as text, later positions are ignored.
-RAW_KLINES = T.StructType(
-    [
-        T.StructField("coin", T.StringType()),
-        T.StructField("timeframe", T.StringType()),
-        T.StructField("kline", T.ArrayType(T.StringType())),
-    ]
-)
-
-#: A message as it comes from the messenger, before any check.
-RAW_MESSAGES = T.StructType(
-    [
-        T.StructField("id", T.LongType()),
-        T.StructField("channel_name", T.StringType()),
-        T.StructField("message_text", T.StringType()),
-        T.StructField("views", T.IntegerType()),
-        T.StructField("forwards", T.IntegerType()),
-        T.StructField("created_at", T.TimestampNTZType()),
-    ]
-)
-
 TABLES = {
     "telegram_channels": CHANNELS,
     "telegram_messages": MESSAGES,

@@ -6,18 +6,14 @@
 
 from __future__ import annotations
 
-import json
-import time
-import urllib.parse
-import urllib.request
 from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from candlewright.sources.http import get_json
+
 SCHEMA = "coin string, timeframe string, kline array<string>, error string"
-#: Attempts for one request, and the longest wait between two.
-ATTEMPTS, LONGEST_WAIT_S = 3, 60.0
 
 
 class Pair(InputPartition):
@@ -53,17 +49,7 @@ class KlineReader(DataSourceReader):
             yield partition.coin, partition.timeframe, None, f"{type(error).__name__}: {error}"
 
     def _fetch(self, pair: Pair, start: int | None) -> list:
-        query = {"symbol": pair.coin, "interval": pair.timeframe, "limit": self.limit} | ({"startTime": start} if start else {})
-        address = f"{self.url}?{urllib.parse.urlencode(query)}"
-        for attempt in range(1, ATTEMPTS + 1):
-            try:
-                with urllib.request.urlopen(address, timeout=30) as answer:
-                    return json.load(answer)
-            except OSError:
-                if attempt == ATTEMPTS:
-                    raise
-                time.sleep(min(2.0**attempt, LONGEST_WAIT_S))
-        return []
+        return get_json(self.url, {"symbol": pair.coin, "interval": pair.timeframe, "limit": self.limit, "startTime": start or None})
 
 
 class KlineSource(DataSource):

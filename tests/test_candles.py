@@ -6,26 +6,26 @@ from pyspark.sql import functions as F
 
 from candlewright.operators import candles as C
 from candlewright.operators.sequences import numbered, with_previous
-from candlewright.schemas import RAW_KLINES
 
-MS = 1_700_000_000_000
-GOOD = [str(MS), "35000.0", "36000.0", "34000.0", "35500.0", "100.0"]
+MS = 1_711_929_600_000
+GOOD = [str(MS), "7.25", "7.5", "6.75", "7.0", "412.5"]
+RAW_KLINES = "coin string, timeframe string, kline array<string>"
 CANDLE = "coin string, timeframe string, open_time timestamp_ntz, open double, high double, low double, close double, volume double"
 
 
 def raw(spark, *klines):
-    return spark.createDataFrame([("BTCUSDT", "1h", k) for k in klines], RAW_KLINES)
+    return spark.createDataFrame([("LTCUSDT", "1h", k) for k in klines], RAW_KLINES)
 
 
-def candle(at=datetime(2024, 1, 1), volume=150.0, **changed):
-    row = {"coin": "XRPUSDT", "timeframe": "1h", "open_time": at, "open": 1.0, "high": 2.0, "low": 0.5, "close": 1.5, "volume": volume}
+def candle(at=datetime(2024, 1, 1), volume=37.5, **changed):
+    row = {"coin": "ADAUSDT", "timeframe": "1h", "open_time": at, "open": 1.0, "high": 2.0, "low": 0.5, "close": 1.5, "volume": volume}
     return tuple((row | changed).values())
 
 
 def test_parse_maps_positions_and_time(spark):
     row = C.parse_klines(raw(spark, [*GOOD, "ignored"])).first()
-    assert (row.open, row.high, row.low, row.close, row.volume) == (35000.0, 36000.0, 34000.0, 35500.0, 100.0)
-    assert row.open_time == datetime(2023, 11, 14, 22, 13, 20) and row.parse_error is None
+    assert (row.open, row.high, row.low, row.close, row.volume) == (7.25, 7.5, 6.75, 7.0, 412.5)
+    assert row.open_time == datetime(2024, 4, 1) and row.parse_error is None
 
 
 @pytest.mark.parametrize(
@@ -91,7 +91,7 @@ def test_plan_and_summary(spark):
     assert plan.count() == 8 and plan.where("coin = 'A' AND timeframe = '15m'").first().expected == 8640
     df = spark.createDataFrame([candle(), candle(close=-1.0), candle(coin="B", close=-2.0)], CANDLE)
     got = {r.coin: (r.n_valid, r.n_skipped, r.status) for r in C.pair_summary(C.checked_candles(df)).collect()}
-    assert got == {"XRPUSDT": (1, 1, "ok"), "B": (0, 1, "no data")}
+    assert got == {"ADAUSDT": (1, 1, "ok"), "B": (0, 1, "no data")}
 
 
 def test_sequences_equal_plain_windows(spark):

@@ -1,8 +1,10 @@
 from datetime import datetime
 
 from candlewright.operators.sinks import read_marks
+from candlewright.plans import jobs
 from candlewright.plans.jobs import backfill_candles, backfill_messages
 from candlewright.schemas import SCRAPE_CHECKPOINTS
+from candlewright.sources import klines
 from tests.helpers import spark_bag
 
 HOUR = 3_600_000
@@ -24,6 +26,30 @@ def test_candle_backfill_isolates_pairs_and_is_idempotent(spark, tmp_path):
     assert dict(spark.read.parquet(f"{tmp_path}/sink").dtypes)["close"] == "decimal(20,8)"
 
 
+def test_candle_job_writes_gaps_and_rejects(spark, tmp_path, monkeypatch):
+    pages = {"A": [kline(0), kline(9), kline(10, "-1"), ["x"]], "B": []}
+    monkeypatch.setattr(klines.KlineReader, "_fetch", lambda self, pair, start: pages[pair.coin])
+    reader = klines.KlineReader({"coins": "A,B", "timeframes": "1h", "base_url": "unused"})
+    rows = [row for pair in reader.partitions() for row in reader.read(pair)]
+    monkeypatch.setattr(jobs, "_read_klines", lambda spark, options: spark.createDataFrame(rows, RAW))
+    monkeypatch.setenv("CANDLEWRIGHT_GAPS", f"{tmp_path}/gaps")
+    jobs.main(["candles", "--coins", "A,B", "--url", "unused", "--sink", f"{tmp_path}/sink", "--rejects", f"{tmp_path}/rejects"])
+    assert spark.read.parquet(f"{tmp_path}/sink").count() == 2
+    gap = spark.read.parquet(f"{tmp_path}/gaps").first()
+    assert (gap.gap_to - gap.gap_from).total_seconds() == 9 * 3600
+    assert sorted(r.reject_reason for r in spark.read.parquet(f"{tmp_path}/rejects").collect()) == ["negative close", "short kline"]
+
+
+def test_message_job_writes_rejects_and_languages(spark, data, tmp_path):
+    source = f"{data}/telegram_messages.parquet"
+    jobs.main(["messages", "--source", source, "--sink", f"{tmp_path}/sink", "--marks", f"{tmp_path}/marks", "--limit", "50", "--rejects", f"{tmp_path}/rejects",
+               "--language-samples", f"{data}/language_samples.parquet"])
+    rejects = spark.read.parquet(f"{tmp_path}/rejects")
+    assert rejects.count() > 0 and rejects.where("reject_reason IS NULL").count() == 0
+    told = {r.language for r in spark.read.parquet(f"{tmp_path}/sink").select("language").distinct().collect()}
+    assert told == {"vi", "en", None}
+
+
 def message(i, channel="c", text="a text that is long enough"):
     return (i, channel, text, 1, None, datetime(2024, 1, 1, i % 24))
 

@@ -1,12 +1,16 @@
 import json
-from datetime import datetime
+import sqlite3
+import threading
+from datetime import datetime, timedelta
+from http.server import BaseHTTPRequestHandler, HTTPServer
+from urllib.parse import parse_qs, urlparse
 
 from pyspark.sql import functions as F
 
 from candlewright.operators import sinks as S
 from candlewright.operators.messages import split_messages
 from candlewright.schemas import MESSAGES, SCRAPE_CHECKPOINTS, TABLES
-from candlewright.sources import catalog, channels, klines
+from candlewright.sources import catalog, channels, history, http, klines
 from candlewright.streaming import messages as stream
 from tests.helpers import spark_bag
 
@@ -30,6 +34,36 @@ def test_insert_ignore_keeps_what_is_stored(spark, tmp_path):
     assert spark_bag(spark.read.parquet(path)) == once
 
 
+def test_insert_ignore_reads_what_the_batch_touches(spark, tmp_path):
+    path, layout = f"{tmp_path}/t", {"part": "CAST(pmod(k, 4) AS INT)"}
+    S.insert_ignore(spark.createDataFrame([(i, 0, "old") for i in range(8)] + [(None, 0, "null")], KV), path, ["k"], ["o"], layout)
+    batch = spark.createDataFrame([(1, 0, "new"), (9, 0, "nine"), (None, 1, "again")], KV)
+    touched = S._touched(spark.read.parquet(path), batch, layout)
+    assert {r.k for r in touched.collect()} == {1, 5, None} and "PartitionFilters: [((part" in touched._jdf.queryExecution().executedPlan().toString()
+    S.insert_ignore(batch, path, ["k"], ["o"], layout)
+    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    assert got == {**{i: "old" for i in range(8)}, 9: "nine", None: "null"} and spark.read.parquet(path).count() == 10
+
+
+def test_insert_into_database(spark, tmp_path):
+    path = f"{tmp_path}/candles.db"
+    connect = lambda: sqlite3.connect(path, timeout=60)
+    with connect() as db:
+        db.execute("CREATE TABLE candles (coin TEXT, timeframe TEXT, open_time TEXT, id INTEGER, UNIQUE (coin, timeframe, open_time))")
+    rows = [("A" if i % 3 else "B", "1h", datetime(2024, 1, 1) + timedelta(hours=i), i) for i in range(70)]
+    df = spark.createDataFrame(rows + rows[:5], "coin string, timeframe string, open_time timestamp_ntz, id int")
+    chunked = S.numbered_chunks(df, size=10).withColumn("open_time", F.col("open_time").cast("string"))
+    assert S.insert_chunks(df, size=10).agg(F.sum("n_rows"), F.max("n_rows")).first() == (75, 10)
+    kept = ["coin", "timeframe", "open_time", "id"]
+    for _ in range(2):
+        S.insert_into_database(chunked, connect, "candles", kept, ["coin", "timeframe", "chunk"])
+        assert sorted(connect().execute("SELECT id FROM candles")) == [(i,) for i in range(70)]
+    S.insert_into_database(df.limit(0).withColumn("open_time", F.lit("x")), connect, "candles", kept)
+    other = spark.createDataFrame([("C", "1h", "t", 900), ("A", "1h", str(rows[1][2]), 901)], "coin string, timeframe string, open_time string, id int")
+    S.insert_into_database(other, connect, "candles", kept)
+    assert [r for r in connect().execute("SELECT id FROM candles WHERE id >= 900")] == [(900,)]
+
+
 def test_marks_are_versions(spark, tmp_path):
     folder = f"{tmp_path}/marks"
     assert S.read_marks(spark, folder, SCRAPE_CHECKPOINTS).count() == 0
@@ -55,7 +89,7 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark, data, tmp_path):
     for checkpoint in ("one", "one", "two"):
         query = stream.start(stream.read_messages(spark, source), f"{tmp_path}/sink", f"{tmp_path}/{checkpoint}", f"{tmp_path}/rejects", once=True)
         query.awaitTermination()
-        assert spark_bag(spark.read.parquet(f"{tmp_path}/sink")) == spark_bag(batch)
+        assert spark_bag(spark.read.parquet(f"{tmp_path}/sink").drop(*S.MESSAGE_LAYOUT)) == spark_bag(batch)
     assert spark.read.parquet(f"{tmp_path}/rejects/batch=0").count() == rejected.count()
 
 
@@ -95,3 +129,47 @@ def test_kline_source_isolates_failures(spark, tmp_path):
     got = [list(reader.read(p)) for p in reader.partitions()]
     assert got[0] == [("A", "1h", ["1700000000000", "1", "2", "0.5", "1.5", "10"], None)] and got[1][0][3] == "OSError: down"
     assert spark.read.format("klines").option("coins", "").load().count() == 0
+
+
+class Service(BaseHTTPRequestHandler):
+    """Channel ``c`` holds messages 1 to 250, one an hour; the first answer says to wait, channel ``gone`` fails."""
+
+    asked: list[dict] = []
+
+    def do_GET(self):
+        query = {k: v[0] for k, v in parse_qs(urlparse(self.path).query).items()}
+        self.asked.append(query)
+        if query["channel"] == "gone" or len(self.asked) == 1:
+            self.send_response(404 if query["channel"] == "gone" else 429)
+            self.send_header("Retry-After", "0")
+            self.end_headers()
+            return
+        ids = [i for i in range(250, 0, -1) if i < int(query.get("offset_id", 999))]
+        ids = [i for i in ids if (datetime(2024, 1, 1) + timedelta(hours=i)).isoformat() < query.get("offset_date", "9")]
+        at = lambda i: f"{(datetime(2024, 1, 1) + timedelta(hours=i + 7)).isoformat()}+07:00"
+        page = [{"id": i, "date": at(i), "text": f"message number {i}", "views": i} for i in ids[: int(query["limit"])]]
+        self.send_response(200)
+        self.end_headers()
+        self.wfile.write(json.dumps(page).encode())
+
+    def log_message(self, *_):
+        pass
+
+
+def test_history_source_pushes_bounds_and_waits_as_told(spark, tmp_path):
+    server = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}/messages"
+    S.write_marks(spark.createDataFrame([("c", 100), ("d", 0)], "channel string, last_message_id bigint"), f"{tmp_path}/marks")
+    ids = lambda **o: sorted(r.id for r in history.read(spark, url, "c", f"{tmp_path}/marks", **o).collect())
+    assert ids() == list(range(101, 251))
+    assert ids(limit=30) == list(range(221, 251))
+    assert ids(limit=30, before="2024-01-05T04:00:00") == []
+    assert ids(limit=9, before="2024-01-09T08:00:00") == list(range(191, 200))
+    assert ids(since="2024-01-11T00:00:00") == list(range(240, 251))
+    asked = len(Service.asked)
+    rows = history.read(spark, url, "gone,c", f"{tmp_path}/none", limit=5).collect()
+    server.shutdown()
+    assert len(Service.asked) - asked == http.ATTEMPTS + 1
+    assert sorted(r.id for r in rows if r.id) == [246, 247, 248, 249, 250] and [r.channel_name for r in rows if r.error] == ["gone"]
+    assert rows[-1].created_at.hour == (rows[-1].id % 24) if rows[-1].id else True
