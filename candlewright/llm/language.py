@@ -36,6 +36,8 @@ CLEAR = 0.04
 CHUNK = 400_000
 
 _LINKS = re.compile(r"[hH][tT][tT][pP][sS]?://\S+|[wW]{3}\.\S+|[@#$]\w[\w.]*")
+#: One of these is in every link, handle and tag.
+_LINK_MARKS = ("@", "#", "$", "://", "w.", "W.")
 _BREAKS = ".!?…。！？"
 _QUOTES = "\"“”„«»\n\r—|•;"
 
@@ -87,6 +89,8 @@ def _composed(text: str) -> tuple[str, np.ndarray | None]:
 
 def _blanked(text: str) -> str:
     """``text`` with links, handles and tags blanked in place."""
+    if not any(mark in text for mark in _LINK_MARKS):
+        return text
     return _LINKS.sub(lambda m: " " * len(m[0]), text)
 
 
@@ -312,10 +316,19 @@ def _chunks(texts: list[str]) -> Iterable[list[tuple[int, int, str]]]:
         yield group
 
 
-def _score(texts: list[str], profiles: Profiles) -> tuple[list[list[tuple]], np.ndarray, np.ndarray]:
-    """The segments of each text (``start, length, letters, language or -1, confidence, clear``), its summed distances, and its telling segments."""
-    segments: list[list[tuple]] = [[] for _ in texts]
-    weight, telling_in = np.zeros((len(texts), len(profiles.languages))), np.zeros(len(texts), np.int64)
+@dataclass
+class Scores:
+    """What a batch of texts shows: summed distances and telling segments by text, which languages are clear, and the segments."""
+
+    weight: np.ndarray
+    telling: np.ndarray
+    clear: np.ndarray
+    segments: list[list[tuple]]  # ``start, length, letters, language or -1, confidence`` by text
+
+
+def _score(texts: list[str], profiles: Profiles, with_segments: bool) -> Scores:
+    shape = (len(texts), len(profiles.languages))
+    out = Scores(np.zeros(shape), np.zeros(len(texts), np.int64), np.zeros(shape, bool), [[] for _ in texts] if with_segments else [])
     for group in _chunks(texts):
         found = segments_of([part for _, _, part in group])
         n = len(found.start)
@@ -323,22 +336,24 @@ def _score(texts: list[str], profiles: Profiles) -> tuple[list[list[tuple]], np.
         telling = (found.letters >= LEAST_LETTERS) & (found.words >= LEAST_WORDS) & (found.text_no < len(group))
         best, sure = _confidence(distance)
         owner = np.array([i for i, _, _ in group] + [-1])[np.minimum(found.text_no, len(group))]
-        start = found.start + np.array([p for _, p, _ in group] + [0])[np.minimum(found.text_no, len(group))]
         rows = np.flatnonzero(telling)
-        np.add.at(weight, owner[rows], distance[rows] * found.letters[rows, None])
-        np.add.at(telling_in, owner[rows], 1)
-        clear = telling & (sure >= CLEAR)
-        told = np.where(telling, best, -1)
-        for i, *segment in zip(*(x.tolist() for x in (owner, start, found.length, found.letters, told, sure, clear))):
-            if i >= 0:
-                segments[i].append(tuple(segment))
-    return segments, weight, telling_in
+        np.add.at(out.weight, owner[rows], distance[rows] * found.letters[rows, None])
+        np.add.at(out.telling, owner[rows], 1)
+        clear = np.flatnonzero(telling & (sure >= CLEAR))
+        out.clear[owner[clear], best[clear]] = True
+        if with_segments:
+            start = found.start + np.array([p for _, p, _ in group] + [0])[np.minimum(found.text_no, len(group))]
+            told = np.where(telling, best, -1)
+            for i, *segment in zip(*(x.tolist() for x in (owner, start, found.length, found.letters, told, sure))):
+                if i >= 0:
+                    out.segments[i].append(tuple(segment))
+    return out
 
 
 def _joined(segments: list[tuple], main: int, kinds: set[int]) -> list[list]:
     """Neighbouring segments of one language as one: ``start, end, language, confidence``."""
     out: list[list] = []
-    for start, length, letters, told, sure, _ in segments:
+    for start, length, letters, told, sure in segments:
         mine = None if told < 0 else told if told in kinds else main
         if out and (not letters or mine is None or out[-1][2] in (mine, None)):
             out[-1][1] = start + length
@@ -359,20 +374,20 @@ def identify(texts: list[str | None], profiles: Profiles, with_segments: bool =
     if not profiles.languages:
         return pa.nulls(len(texts), _RESULT)
     composed = [_composed(t or "") for t in texts]
-    segments, weight, telling_in = _score([_blanked(t) for t, _ in composed], profiles)
-    whole, whole_sure = _confidence(weight)
+    scores = _score([_blanked(t) for t, _ in composed], profiles, with_segments)
+    whole, whole_sure = _confidence(scores.weight)
     names = profiles.languages
+    several = scores.clear.sum(axis=1) > 1
     out: list[dict | None] = []
-    for own, (_, places), main, sure, n_telling in zip(segments, composed, whole.tolist(), whole_sure.tolist(), telling_in.tolist()):
-        if not n_telling:
+    for i, (main, sure, told, mixed) in enumerate(zip(whole.tolist(), whole_sure.tolist(), scores.telling.tolist(), several.tolist())):
+        if not told:
             out.append(None)
             continue
-        kinds = {s[3] for s in own if s[5]}
-        if len(kinds) < 2:
-            kinds = {main}
-        found = {"lang": names[main], "confidence": sure, "languages": [names[main]] if len(kinds) == 1 else sorted(names[k] for k in kinds)}
+        kinds = np.flatnonzero(scores.clear[i]).tolist() if mixed else [main]
+        found = {"lang": names[main], "confidence": sure, "languages": [names[k] for k in kinds]}
         if with_segments:
-            joined = _joined(own, main, kinds)
+            places = composed[i][1]
+            joined = _joined(scores.segments[i], main, set(kinds))
             if places is not None:
                 joined = [(int(places[a]), int(places[b]), k, c) for a, b, k, c in joined]
             found["segments"] = [{"start": a, "length": b - a, "lang": names[k], "confidence": c} for a, b, k, c in joined]
