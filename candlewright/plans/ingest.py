@@ -12,8 +12,10 @@ from candlewright.functions.text import ASSETS, channel_or_id, extract_coins, pr
 from candlewright.operators import candles as C
 from candlewright.operators import messages as M
 from candlewright.operators import sinks as S
-from candlewright.operators.indicators import bollinger, indicators
+from candlewright.operators.indicators import COLUMNS, bollinger, indicators
+from candlewright.plans import jobs
 from candlewright.plans.feeds import named_messages
+from candlewright.schemas import SCRAPE_CHECKPOINTS
 from candlewright.session import shared_folder, use_utc
 from candlewright.sources.channels import concatenated
 from candlewright.sources.tables import read_table
@@ -172,13 +174,69 @@ def stream_insert_ignore(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("channel_name", "id", "ingested_at", F.array_join("coins_mentioned", ",").alias("coins"))
 
 
+def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What the same stream rejects, and why."""
+    use_utc(spark)
+    run = f"{shared_folder(spark)}/stream-{uuid4()}"
+    rows = stream.read_messages(spark, f"{folder}/telegram_messages.parquet")
+    stream.start(rows, f"{run}/sink", f"{run}/checkpoint", rejects=f"{run}/rejects", once=True).awaitTermination()
+    return spark.read.parquet(f"{run}/rejects").select(*ROW, "reject_reason")
+
+
+def _candle_job(spark: SparkSession, folder: str) -> tuple[DataFrame, str]:
+    run = f"{shared_folder(spark)}/candles-{uuid4()}"
+    found = jobs.backfill_candles(C.to_klines(_candles(spark, folder)), f"{run}/sink", f"{run}/gaps", f"{run}/rejects")
+    return found, run
+
+
+def job_candles_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The outcome of a candle backfill by pair."""
+    return _candle_job(spark, folder)[0].select("coin", "timeframe", "n_rows", "n_valid", "n_skipped", "status")
+
+
+def job_candles_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The table that a candle backfill leaves."""
+    stored = spark.read.parquet(f"{_candle_job(spark, folder)[1]}/sink")
+    return stored.select("coin", "timeframe", "open_time", F.col("close").cast("string").alias("close"))
+
+
+def job_candles_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """The gaps that a candle backfill reports."""
+    return spark.read.parquet(f"{_candle_job(spark, folder)[1]}/gaps")
+
+
+def job_candles_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejected candles by pair and reason."""
+    rejects = spark.read.parquet(f"{_candle_job(spark, folder)[1]}/rejects")
+    return rejects.groupBy("coin", "timeframe", "reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _message_job(spark: SparkSession, folder: str) -> tuple[DataFrame, str]:
+    use_utc(spark)
+    run = f"{shared_folder(spark)}/messages-{uuid4()}"
+    S.write_marks(read_table(spark, folder, "scrape_checkpoints").select("channel", "last_message_id"), f"{run}/marks")
+    named = named_messages(spark, folder).withColumn("channel_name", F.col("username"))
+    return jobs.backfill_messages(named, f"{run}/sink", f"{run}/marks", limit=WINDOW, keys=["channel_name", "id"]), run
+
+
+def job_messages_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Valid and rejected messages of a history backfill by channel."""
+    return _message_job(spark, folder)[0]
+
+
+def job_messages_marks(spark: SparkSession, folder: str) -> DataFrame:
+    """The marks that a history backfill leaves."""
+    return S.read_marks(spark, f"{_message_job(spark, folder)[1]}/marks", SCRAPE_CHECKPOINTS).select("channel", "last_message_id")
+
+
 def _series(spark: SparkSession, folder: str) -> DataFrame:
     valid, _ = C.split_candles(_candles(spark, folder))
     return S.first_wins(valid, ["coin", "timeframe", "open_time"], ["id"])
 
 
 def technical_indicators(spark: SparkSession, folder: str) -> DataFrame:
-    return indicators(_series(spark, folder))
+    found = indicators(_series(spark, folder))
+    return found.withColumns({c: F.round(c, 4) for c in COLUMNS})
 
 
 def bollinger_20(spark: SparkSession, folder: str) -> DataFrame:
@@ -193,7 +251,8 @@ QUERIES = {
         language_route, detected_language, text_preview, channel_safe_name, channel_fallback, channel_join, channel_union,
         scrape_window, scan_bounds, resume_marks, parse_klines, price_decimal, candle_validity, candle_gaps, closed_candles,
         backfill_plan, pair_summary, first_wins, insert_ignore_candles, insert_ignore_messages, insert_chunks, stream_insert_ignore,
-        technical_indicators, bollinger_20,
+        stream_rejects, job_candles_summary, job_candles_stored, job_candles_gaps, job_candles_rejects, job_messages_summary,
+        job_messages_marks, technical_indicators, bollinger_20,
     )
 }
 
@@ -217,6 +276,67 @@ _CANDLE_REASON = (
 )
 _PERIOD = "CAST(CASE timeframe WHEN '15m' THEN 900 WHEN '1h' THEN 3600 WHEN '4h' THEN 14400 WHEN '1d' THEN 86400 END AS BIGINT)"
 _FLAT_ROW = ", ".join(ROW)
+_SCANNED = f"""
+spelled AS (
+  SELECT lower(username) AS spelled, username FROM telegram_channels WHERE NOT regexp_full_match(username, '[0-9]+')
+  UNION ALL SELECT CAST(id AS VARCHAR), username FROM telegram_channels
+),
+placed AS (
+  SELECT m.* REPLACE (c.username AS channel_name), row_number() OVER (
+    PARTITION BY c.username ORDER BY m.id DESC NULLS LAST, m.created_at DESC NULLS LAST, m.message_text DESC NULLS LAST, m.ingested_at DESC NULLS LAST
+  ) AS place
+  FROM telegram_messages m LEFT JOIN spelled c ON lower(regexp_replace(trim(m.channel_name), '^@+', '')) = c.spelled
+),
+scanned AS (
+  SELECT p.* FROM placed p LEFT JOIN scrape_checkpoints s ON p.channel_name = s.channel
+  WHERE place <= {WINDOW} AND (s.last_message_id IS NULL OR s.last_message_id = 0 OR p.id > s.last_message_id)
+)
+"""
+#: Candles as the raw klines give them: whole milliseconds, a missing number is a bad one.
+_KLINE_REASON = (
+    "CASE WHEN open_time IS NULL THEN 'bad time' "
+    + " ".join(f"WHEN {c} IS NULL THEN 'bad {c}'" for c in _NUMBERS)
+    + " WHEN coin IS NULL THEN 'no coin' WHEN timeframe IS NULL THEN 'no timeframe' "
+    + " ".join(f"WHEN {c} < 0 THEN 'negative {c}'" for c in _NUMBERS)
+    + " END"
+)
+_FETCHED = f"fetched AS (SELECT * REPLACE (make_timestamp((epoch_us(open_time) // 1000) * 1000) AS open_time), {_KLINE_REASON} AS reason FROM ohlcv)"
+
+
+def _average(before: str, value: str, weight: str) -> str:
+    return f"{before} + ({value} - {before}) * {weight}"
+
+
+#: All indicators of a series, one candle after the other.
+_INDICATORS = f"""
+WITH RECURSIVE series AS (
+  SELECT coin, timeframe, open_time, CAST(arg_min(high, id) AS DOUBLE) AS high, CAST(arg_min(low, id) AS DOUBLE) AS low, CAST(arg_min(close, id) AS DOUBLE) AS x
+  FROM ohlcv WHERE ({_CANDLE_REASON}) IS NULL GROUP BY coin, timeframe, open_time
+),
+steps AS (
+  SELECT *, row_number() OVER w AS k, x - coalesce(lag(x) OVER w, x) AS step, coalesce(lag(x) OVER w, x) AS before,
+    CASE WHEN count(*) OVER b = 20 THEN avg(x) OVER b END AS middle, stddev_pop(x) OVER b AS deviation
+  FROM series WINDOW w AS (PARTITION BY coin, timeframe ORDER BY open_time),
+    b AS (PARTITION BY coin, timeframe ORDER BY open_time ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)
+),
+ranged AS (SELECT *, greatest(high - low, abs(high - before), abs(low - before)) AS span FROM steps),
+carried AS (
+  SELECT coin, timeframe, k, open_time, middle, deviation, 0.0::DOUBLE AS gain, 0.0::DOUBLE AS loss, x AS fast, x AS slow, 0.0::DOUBLE AS signal,
+    x AS ema_20, x AS ema_50, span AS atr
+  FROM ranged WHERE k = 1
+  UNION ALL
+  SELECT n.coin, n.timeframe, n.k, n.open_time, n.middle, n.deviation, {_average("gain", "greatest(step, 0)", "1.0::DOUBLE / 14")},
+    {_average("loss", "greatest(-step, 0)", "1.0::DOUBLE / 14")}, {_average("fast", "x", "2.0::DOUBLE / 13")}, {_average("slow", "x", "2.0::DOUBLE / 27")},
+    {_average("signal", f"({_average('fast', 'x', '2.0::DOUBLE / 13')} - ({_average('slow', 'x', '2.0::DOUBLE / 27')}))", "2.0::DOUBLE / 10")},
+    {_average("ema_20", "x", "2.0::DOUBLE / 21")}, {_average("ema_50", "x", "2.0::DOUBLE / 51")}, {_average("atr", "span", "1.0::DOUBLE / 14")}
+  FROM carried c JOIN ranged n ON n.coin = c.coin AND n.timeframe = c.timeframe AND n.k = c.k + 1
+)
+SELECT coin, timeframe, open_time AS calculated_at, round(CASE WHEN gain + loss > 0 THEN 100 * gain / (gain + loss) ELSE 50 END, 4) AS rsi_14,
+  round(fast - slow, 4) + 0.0 AS macd_line, round(signal, 4) + 0.0 AS macd_signal, round(fast - slow - signal, 4) + 0.0 AS macd_histogram,
+  round(middle + 2 * deviation, 4) AS bb_upper, round(middle, 4) AS bb_middle, round(middle - 2 * deviation, 4) AS bb_lower,
+  round(ema_20, 4) AS ema_20, round(ema_50, 4) AS ema_50, round(atr, 4) AS atr_14
+FROM carried
+"""
 
 SQL = {
     "channel_message_counts": "SELECT channel_name, count(*) AS n_messages FROM telegram_messages GROUP BY 1",
@@ -243,20 +363,7 @@ FROM telegram_messages m LEFT JOIN telegram_channels c ON m.channel_id = c.id
 SELECT username, language, CAST(1 AS INTEGER) AS list_no FROM telegram_channels WHERE language = 'en'
 UNION ALL SELECT username, language, CAST(2 AS INTEGER) FROM telegram_channels WHERE language = 'vi'
 """,
-    "scrape_window": f"""
-WITH spelled AS (
-  SELECT lower(username) AS spelled, username FROM telegram_channels WHERE NOT regexp_full_match(username, '[0-9]+')
-  UNION ALL SELECT CAST(id AS VARCHAR), username FROM telegram_channels
-),
-placed AS (
-  SELECT m.id, c.username AS channel_name, m.created_at, row_number() OVER (
-    PARTITION BY c.username ORDER BY m.id DESC NULLS LAST, m.created_at DESC NULLS LAST, m.message_text DESC NULLS LAST, m.ingested_at DESC NULLS LAST
-  ) AS place
-  FROM telegram_messages m LEFT JOIN spelled c ON lower(regexp_replace(trim(m.channel_name), '^@+', '')) = c.spelled
-)
-SELECT p.id, p.channel_name, p.created_at FROM placed p LEFT JOIN scrape_checkpoints s ON p.channel_name = s.channel
-WHERE place <= {WINDOW} AND (s.last_message_id IS NULL OR s.last_message_id = 0 OR p.id > s.last_message_id)
-""",
+    "scrape_window": f"WITH {_SCANNED} SELECT {_FLAT_ROW} FROM scanned",
     "scan_bounds": f"SELECT {_FLAT_ROW} FROM telegram_messages WHERE created_at < '{AS_OF}' AND created_at >= '{STORED_UNTIL}'",
     "resume_marks": f"SELECT channel_name AS channel, max(id) AS last_message_id FROM telegram_messages WHERE ({_LENIENT}) IS NULL GROUP BY 1",
     "parse_klines": f"""
@@ -321,6 +428,42 @@ banded AS (
 SELECT coin, timeframe, open_time AS calculated_at, round(CASE WHEN n = 20 THEN middle + 2 * deviation END, 4) AS bb_upper,
   round(CASE WHEN n = 20 THEN middle END, 4) AS bb_middle, round(CASE WHEN n = 20 THEN middle - 2 * deviation END, 4) AS bb_lower
 FROM banded
+""",
+    "technical_indicators": _INDICATORS,
+    "stream_rejects": f"SELECT {_FLAT_ROW}, {_LENIENT} AS reject_reason FROM telegram_messages WHERE ({_LENIENT}) IS NOT NULL",
+    "job_candles_summary": f"""
+WITH {_FETCHED}
+SELECT coin, timeframe, count(*) AS n_rows, count(*) FILTER (reason IS NULL) AS n_valid, count(*) FILTER (reason IS NOT NULL) AS n_skipped,
+  CASE WHEN count(*) FILTER (reason IS NULL) > 0 THEN 'ok' ELSE 'no data' END AS status
+FROM fetched GROUP BY coin, timeframe
+""",
+    "job_candles_stored": f"""
+WITH {_FETCHED}
+SELECT coin, timeframe, open_time, CAST(close AS VARCHAR) AS close FROM (
+  SELECT *, row_number() OVER (PARTITION BY coin, timeframe, open_time ORDER BY open, high, low, close, volume) AS place FROM fetched WHERE reason IS NULL
+) WHERE place = 1
+""",
+    "job_candles_gaps": f"""
+WITH {_FETCHED}
+SELECT coin, timeframe, before AS gap_from, open_time AS gap_to FROM (
+  SELECT coin, timeframe, open_time, {_PERIOD} AS period, lag(open_time) OVER (PARTITION BY coin, timeframe ORDER BY open_time) AS before
+  FROM fetched WHERE reason IS NULL
+) WHERE epoch_us(open_time) - epoch_us(before) > period * 2500000
+""",
+    "job_candles_rejects": f"""
+WITH {_FETCHED}
+SELECT coin, timeframe, reason AS reject_reason, count(*) AS n_rows FROM fetched WHERE reason IS NOT NULL GROUP BY coin, timeframe, reason
+""",
+    "job_messages_summary": f"""
+WITH {_SCANNED}
+SELECT channel_name, count(*) FILTER (reason IS NULL) AS n_valid, count(*) FILTER (reason IS NOT NULL) AS n_rejected
+FROM (SELECT channel_name, {_LENIENT} AS reason FROM scanned) GROUP BY channel_name
+""",
+    "job_messages_marks": f"""
+WITH {_SCANNED},
+valid AS (SELECT channel_name AS channel, id AS mark FROM scanned WHERE ({_LENIENT}) IS NULL)
+SELECT channel, max(mark) AS last_message_id
+FROM (SELECT * FROM valid UNION ALL SELECT channel, last_message_id FROM scrape_checkpoints) GROUP BY channel
 """,
     "stream_insert_ignore": f"""
 SELECT channel_name, id, ingested_at, array_to_string({_COINS}, ',') AS coins FROM (

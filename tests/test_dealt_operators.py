@@ -3,12 +3,14 @@
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from candlewright.functions.times import period_seconds
+from candlewright.operators import regular_grid as regular_grid_module
 from candlewright.operators.channels import with_username
 from candlewright.operators.heavy_keys import _partial_states, heavy_keys, key_profile
 from candlewright.operators.redelivery import one_copy_each
@@ -150,6 +152,58 @@ def test_grid_keeps_observed_fills_holes_and_marks_the_rest(spark):
     assert halt.n_periods == 8 * 24 - 1 and halt.grid_s == at + 3600
 
 
+def fill_errors(spark, readings, hide):
+    """Root mean square errors, relative to the value, of the cells that ``hide`` picks: by the grid, and by a straight line between neighbours."""
+    shown = [r for r in readings if not hide(r)]
+    grid = grid_of(spark, shown).where("status = 'filled'").toPandas().set_index(["coin", "timeframe", "grid_s"])["value"]
+    at = lambda r: int((r[2] - datetime(1970, 1, 1)).total_seconds())
+    series, mine, line = defaultdict(dict), [], []
+    for r in shown:
+        series[r[:2]][at(r)] = float(r[3])
+    for r in readings:
+        if hide(r) and (*r[:2], at(r)) in grid.index:
+            times = sorted(series[r[:2]])
+            straight = np.interp(at(r), times, [series[r[:2]][t] for t in times])
+            mine.append(grid[(*r[:2], at(r))] / float(r[3]) - 1)
+            line.append(straight / float(r[3]) - 1)
+    return len(mine), float(np.sqrt(np.mean(np.square(mine)))), float(np.sqrt(np.mean(np.square(line))))
+
+
+def test_grid_fills_what_sources_share(spark):
+    """A tenth of the cells of sources that move together is hidden, in holes of several periods: the factors beat a straight line."""
+    from decimal import Decimal as D
+
+    rows = []
+    for c in range(12):
+        for h in range(240):
+            shared = 10 * np.sin(h / 2.0 + 0.3) + 6 * np.cos(h / 3.1)
+            rows.append((f"S{c:02}", "1h", T0 + timedelta(hours=h), D(str(round(100 + c + (1 + c / 12) * float(shared) + (h * c % 7) / 10, 4))), h))
+    hide = lambda r: 3 <= r[4] < 237 and (r[4] // 4 + int(r[0][1:]) * 7) % 10 == 0
+    n, mine, line = fill_errors(spark, rows, hide)
+    assert n > 250 and mine < 0.02 and mine < line / 2
+
+
+def test_a_stray_reading_changes_nothing_of_other_sources(spark):
+    from decimal import Decimal as D
+
+    second = "1h"
+    rows = [(c, second, T0 + timedelta(hours=h), D(100 + h + len(c)), h) for c in ("A", "BB", "CCC") for h in range(30) if (c, h) != ("A", 7)]
+    stray = [("Z", second, datetime(1700, 1, 1), D(5), 1), ("Z", second, datetime(2024, 1, 1, 1), D(6), 2)]
+    plain = grid_of(spark, rows).toPandas().set_index(["coin", "grid_s"])
+    with_stray = grid_of(spark, rows + stray).where("coin <> 'Z'").toPandas().set_index(["coin", "grid_s"])
+    assert (plain.status == with_stray.status.reindex(plain.index)).all() and (plain.status == "filled").sum() == 1
+    assert (plain.value - with_stray.value.reindex(plain.index)).abs().max() < 1
+
+
+def test_numbers_are_dense_and_bounded(spark, monkeypatch):
+    rows = spark.range(1000).repartition(7)
+    got = [r.no for r in regular_grid_module._numbered(rows, "no").collect()]
+    assert sorted(got) == list(range(1000))
+    monkeypatch.setattr(regular_grid_module, "_MOST_NUMBERS", 999)
+    with pytest.raises(Exception, match="too many numbers"):
+        regular_grid_module._numbered(rows, "no").collect()
+
+
 def test_grid_of_nothing_and_of_repeats(spark):
     from decimal import Decimal as D
 
