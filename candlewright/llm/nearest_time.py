@@ -48,12 +48,12 @@ def nearest_in_time(
     untimed = rows.where("__e IS NULL OR __t IS NULL").select("__row.*")
     both = rows.where("__e IS NOT NULL AND __t IS NOT NULL").unionByName(points, allowMissingColumns=True)
 
-    # the place after a local sort tells equal rows apart, the same way whenever a task is run again
+    # equal rows are told apart by where they come from
     hashed = [F.col(f"__row.`{c}`") for c, kind in kept.dtypes if "map<" not in kind and "variant" not in kind]
-    placed = both.sortWithinPartitions("__e", "__t", "__side", F.xxhash64(*hashed)).withColumn("__at", F.monotonically_increasing_id())
-    by = ["__e", "__t", "__side", "__at"]
+    by = ["__e", "__t", "__side", "__tie"]
+    placed = both.withColumn("__tie", F.xxhash64(*hashed, F.spark_partition_id()))
     ranged = placed.repartitionByRange(partitions, *by) if partitions else placed.repartitionByRange(*by)
-    ranged = checkpointed(ranged.withColumn("__part", F.spark_partition_id()).drop("__at"))
+    ranged = checkpointed(ranged.withColumn("__part", F.spark_partition_id()).drop("__tie"))
 
     # at one instant right rows come first; both columns carried share this order, and so one sort
     order = "PARTITION BY __e, __part ORDER BY __t, __side"
