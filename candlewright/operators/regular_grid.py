@@ -15,7 +15,7 @@ from candlewright.functions.times import micros
 from candlewright.session import checkpointed
 
 #: Instants in a stretch of a source that gets factors of its own. It bounds the cells of a matrix row, whatever a source holds.
-STRETCH = 1024
+STRETCH = 256
 #: ALS takes row and column numbers below this.
 _MOST_NUMBERS = 1 << 31
 #: Cells of a block of the factorisation: as many blocks as there are cores, as long as each has the first number; more, where a block had more than the second.
@@ -92,7 +92,7 @@ def regular_grid(
     longest_s: int = 7 * 86400,
     rank: int = 3,
     iterations: int = 6,
-    regularisation: float = 0.05,
+    regularisation: float = 0.02,
 ) -> DataFrame:
     """One row per source and grid instant: ``source, period_s, grid_s, value, status, n_periods``.
 

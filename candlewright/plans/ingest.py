@@ -105,6 +105,12 @@ def scrape_window(spark: SparkSession, folder: str) -> DataFrame:
     return M.resume(newest, read_table(spark, folder, "scrape_checkpoints")).select(*ROW)
 
 
+def scan_newest(spark: SparkSession, folder: str) -> DataFrame:
+    """Each channel's newest messages, as many as a scan takes by default."""
+    named = named_messages(spark, folder).withColumn("channel_name", F.col("username"))
+    return M.scan_window(named).select(*ROW)
+
+
 def scan_bounds(spark: SparkSession, folder: str) -> DataFrame:
     return M.scan_window(_messages(spark, folder), limit=None, before=AS_OF, since=STORED_UNTIL).select(*ROW)
 
@@ -249,7 +255,7 @@ QUERIES = {
     for f in (
         channel_message_counts, text_coins, coin_mention_counts, message_validity, message_validity_strict, default_metrics,
         language_route, detected_language, text_preview, channel_safe_name, channel_fallback, channel_join, channel_union,
-        scrape_window, scan_bounds, resume_marks, parse_klines, price_decimal, candle_validity, candle_gaps, closed_candles,
+        scrape_window, scan_newest, scan_bounds, resume_marks, parse_klines, price_decimal, candle_validity, candle_gaps, closed_candles,
         backfill_plan, pair_summary, first_wins, insert_ignore_candles, insert_ignore_messages, insert_chunks, stream_insert_ignore,
         stream_rejects, job_candles_summary, job_candles_stored, job_candles_gaps, job_candles_rejects, job_messages_summary,
         job_messages_marks, technical_indicators, bollinger_20,
@@ -364,6 +370,7 @@ SELECT username, language, CAST(1 AS INTEGER) AS list_no FROM telegram_channels
 UNION ALL SELECT username, language, CAST(2 AS INTEGER) FROM telegram_channels WHERE language = 'vi'
 """,
     "scrape_window": f"WITH {_SCANNED} SELECT {_FLAT_ROW} FROM scanned",
+    "scan_newest": f"WITH {_SCANNED} SELECT {_FLAT_ROW} FROM placed WHERE place <= {M.SCAN_LIMIT}",
     "scan_bounds": f"SELECT {_FLAT_ROW} FROM telegram_messages WHERE created_at < '{AS_OF}' AND created_at >= '{STORED_UNTIL}'",
     "resume_marks": f"SELECT channel_name AS channel, max(id) AS last_message_id FROM telegram_messages WHERE ({_LENIENT}) IS NULL GROUP BY 1",
     "parse_klines": f"""
