@@ -7,7 +7,7 @@ bucket that holds the boundary is counted anew with finer buckets. Nothing is so
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewright.llm.tokens import VOCABULARY, token_count
@@ -26,12 +26,18 @@ def _if_small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.limit(SMALL + 1).count() <= SMALL else rows
 
 
-def sized_documents(documents: DataFrame, targets: DataFrame, doc_id: str, source: str, text: str, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``id, source, n_tokens, hash`` of the documents whose source has a target. A NULL text has no tokens."""
+def sized_documents(
+    documents: DataFrame, targets: DataFrame, doc_id: str, source: str, text: str, vocabulary: str = VOCABULARY, size: Column | None = None
+) -> DataFrame:
+    """``id, source, n_tokens, hash`` of the documents whose source has a target. A NULL text has no tokens.
+
+    ``size``, an expression of the column ``text``, replaces the vocabulary's tokens by another measure.
+    """
     wanted = _if_small(targets.select(F.col("source").alias("__source")).where("__source IS NOT NULL").distinct())
     rows = documents.select(F.col(doc_id).alias("id"), F.col(source).alias("source"), F.col(text).alias("text"))
     kept = rows.join(wanted, F.col("source") == F.col("__source"), "left_semi")
-    sized = kept.select("id", "source", F.coalesce(token_count(F.col("text"), vocabulary), F.lit(0)).alias("n_tokens"))
+    measured = token_count(F.col("text"), vocabulary) if size is None else size.cast("bigint")
+    sized = kept.select("id", "source", F.coalesce(measured, F.lit(0)).alias("n_tokens"))
     return sized.withColumn("hash", F.shiftrightunsigned(F.xxhash64("id"), 64 - _BITS))
 
 

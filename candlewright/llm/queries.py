@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewright.functions.text import strip
@@ -44,6 +44,10 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return p4_pairs(spark, folder).where(often).select("coin_a", "coin_b")
 
 
+#: A measure of texts that SQL has as well.
+WORD_OR_MARK = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
+
+
 def _messages_with_language(spark: SparkSession, folder: str, with_segments: bool, least: int = 0) -> DataFrame:
     profiles = sampled_profiles(read_table(spark, folder, "language_samples"), "lang", "text")
     rows = named_messages(spark, folder)
@@ -91,11 +95,11 @@ def p7_items(spark: SparkSession, folder: str) -> DataFrame:
     return found.agg(F.count(F.lit(1)).alias("n_documents"), F.count_if(F.col("distance") == 0).alias("n_exact"), F.max("n_passages").alias("most_passages"))
 
 
-def _sized(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def _sized(spark: SparkSession, folder: str, size: Column | None = None) -> tuple[DataFrame, DataFrame]:
     targets = read_table(spark, folder, "mix_targets")
     documents = read_table(spark, folder, "documents").select("doc_id", "source", "text")
     named = with_username(documents, read_table(spark, folder, "telegram_channels"), "source")
-    return sized_documents(named, targets, "doc_id", "username", "text"), targets
+    return sized_documents(named, targets, "doc_id", "username", "text", size=size), targets
 
 
 def _mixing(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -109,6 +113,12 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return source_budgets(*_sized(spark, folder)).where("is_short").select("source")
 
 
+def p8_budgets_in_words(spark: SparkSession, folder: str) -> DataFrame:
+    """What each source has, should give and can give, in words and marks instead of tokens."""
+    size = F.regexp_count("text", F.lit(WORD_OR_MARK))
+    return source_budgets(*_sized(spark, folder, size)).drop("budget").withColumn("wanted", F.round("wanted", 3))
+
+
 def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     """Shares wanted and reached by source."""
     return mixture_report(*_mixing(spark, folder))
@@ -134,7 +144,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.where("n_pieces > 1 AND piece_no = 0").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p4_found, p4_pairs, p5_found, p5_languages, p5_segments, p7_found, p7_leaks, p7_items, p8_found, p8_report, p8_mixture, p9_found, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p2_found, p4_found, p4_pairs, p5_found, p5_languages, p5_segments, p7_found, p7_leaks, p7_items, p8_found, p8_budgets_in_words, p8_report, p8_mixture, p9_found, p9_pieces)}
 
 _PAIRS_SQL = f"""
 {NAMED_SQL}, {MENTIONS_SQL},
@@ -159,6 +169,24 @@ def _term(k: str, row: str, column: str) -> str:
 _PLAIN = string.ascii_letters + string.digits
 _WIDE = "".join(chr(ord(c) + 0xFEE0) for c in _PLAIN)
 
+_SIZED_SQL = f"""
+spelled AS (
+  SELECT lower(username) AS spelled, username FROM telegram_channels WHERE NOT regexp_full_match(username, '[0-9]+')
+  UNION ALL SELECT CAST(id AS VARCHAR), username FROM telegram_channels
+),
+sized AS (
+  SELECT t.source, CAST(sum(len(regexp_extract_all(d.text, '{WORD_OR_MARK}'))) AS BIGINT) AS tokens
+  FROM documents d JOIN spelled s ON lower(regexp_replace(trim(d.source), '^@+', '')) = s.spelled JOIN mix_targets t ON t.source = s.username
+  GROUP BY t.source
+),
+goals AS (
+  SELECT source, target_share, CAST(max_repeats AS BIGINT) AS max_repeats, coalesce(tokens, 0) AS available,
+    target_share * (SELECT sum(tokens) FROM sized) AS wanted
+  FROM mix_targets LEFT JOIN sized USING (source)
+),
+budgets AS (SELECT *, max_repeats * available < wanted AS is_short FROM goals)
+"""
+
 SQL = {
     "p2_found": f"""
 WITH {NAMED_SQL}, {MENTIONS_SQL},
@@ -178,19 +206,10 @@ runs AS (SELECT kind, id, array_to_string(w[k:k + 11], ' ') AS run FROM words, U
 SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM runs d JOIN runs i USING (run) WHERE d.kind = 'd' AND i.kind = 'i'
 """,
     # sizes in words and marks; no case depends on which tokens are counted
-    "p8_found": r"""
-WITH spelled AS (
-  SELECT lower(username) AS spelled, username FROM telegram_channels WHERE NOT regexp_full_match(username, '[0-9]+')
-  UNION ALL SELECT CAST(id AS VARCHAR), username FROM telegram_channels
-),
-sized AS (
-  SELECT t.source, sum(len(regexp_extract_all(d.text, '[\p{L}\p{N}]+|[^\s\p{L}\p{N}]'))) AS tokens
-  FROM documents d JOIN spelled s ON lower(regexp_replace(trim(d.source), '^@+', '')) = s.spelled JOIN mix_targets t ON t.source = s.username
-  GROUP BY t.source
-)
-SELECT source FROM mix_targets LEFT JOIN sized USING (source)
-WHERE max_repeats * coalesce(tokens, 0) < target_share * (SELECT sum(tokens) FROM sized)
-""",
+    "p8_found": f"WITH {_SIZED_SQL} SELECT source FROM budgets WHERE is_short",
+    "p8_budgets_in_words": f"WITH {_SIZED_SQL} SELECT * REPLACE (round(wanted, 3) AS wanted) FROM budgets",
+    # the same; no text is near the limit
+    "p9_found": f"SELECT doc_id FROM documents WHERE len(regexp_extract_all(text, '{WORD_OR_MARK}')) > 1500",
     "p4_found": f"WITH {_PAIRS_SQL} SELECT coin_a, coin_b FROM counted WHERE n_ab * 1000 >= n * 4 AND n_ab * n >= 3 * n_a * n_b",
     "p4_pairs": f"""
 WITH {_PAIRS_SQL}

@@ -1,5 +1,6 @@
 """Queries of the subpackage: against their SQL, or against brute force over the smallest tables."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,6 +30,37 @@ def test_p7_equals_brute_force(spark, data):
     assert {tuple(r) for r in queries.p7_found(spark, data).collect()} == want and want
 
 
+def least_edits(documents, items, run=12, most=2):
+    """The least word edits from any passage of an item to each document, by the whole table of edit distances; for all that are near."""
+    numbers: dict[str, int] = {}
+    coded = lambda text: [numbers.setdefault(w, len(numbers) + 1) for w in words(text or "")]
+    texts, at, owners = [0] * 5, [], []
+    for doc_id, text in documents:
+        if len(own := coded(text)):
+            at.append(len(texts))
+            owners.append(doc_id)
+            texts += own + [0] * 5  # no passage reaches over the gap
+    text, place = np.array(texts), np.arange(len(texts))
+    out = {}
+    for item_id, item in items:
+        own, best = coded(item), np.full(len(at), run)
+        for k in range(len(own) - run + 1):
+            row = np.zeros(len(text), dtype=np.int64)
+            for i, word in enumerate(own[k : k + run], 1):
+                step = np.minimum(row + 1, np.append(i - 1, row[:-1]) + (text != word))
+                row = np.minimum.accumulate(step - place) + place
+            best = np.minimum(best, np.minimum.reduceat(row, at))
+        out |= {(owners[d], item_id): int(best[d]) for d in np.flatnonzero(best <= most)}
+    return out
+
+
+def test_p7_leaks_equal_all_edit_distances(spark, data):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{data}/eval_items.parquet").collect()]
+    documents = [(r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
+    got = {(r.doc_id, r.item_id): r.distance for r in queries.p7_leaks(spark, data).where("n_words = 12").collect()}
+    assert got == least_edits(documents, items) and 0 in got.values()
+
+
 def test_p8_equals_counts_in_python(spark, data):
     from candlewright.llm.tokens import VOCABULARY, encode
 
