@@ -59,7 +59,7 @@ def _messages_with_language(spark: SparkSession, folder: str, with_segments: boo
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Languages of the messages that hold several, or whose label is missing or another; shorter texts are no case."""
-    found = _messages_with_language(spark, folder, with_segments=True, least=20).where("found IS NOT NULL")
+    found = _messages_with_language(spark, folder, with_segments=False, least=20).where("found IS NOT NULL")
     rows = found.select(*MESSAGE, "language", "found.languages")
     label = F.lower(F.substring(F.coalesce("language", F.lit("")), 1, 2))
     case = (F.size("languages") > 1) | (label != F.element_at("languages", 1))
