@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from candlewright.functions.language import Detector, fit_detector
 from candlewright.functions.times import TIMEFRAME_SECONDS
+from candlewright.logs import get_logger
 from candlewright.operators import candles as C
 from candlewright.operators import messages as M
 from candlewright.operators import sinks as S
@@ -138,17 +139,19 @@ def _options(arguments: list[str] | None) -> argparse.Namespace:
     option(listen, "source", required=True)
     option(listen, "checkpoint", required=True)
     option(listen, "channels")
+    listen.add_argument("--once", action="store_true", help="take what is there and stop, for schedulers")
     for job in (history, listen):
         option(job, "language-samples", help="parquet of labelled texts (lang, text) that languages are learnt from")
     for job in (candles, history, listen):
         option(job, "sink", required=True)
         option(job, "rejects", help="where to write rejected rows")
+        option(job, "log-file", help="a file for the log, beside standard output")
     return parser.parse_args(arguments)
 
 
 def main(arguments: list[str] | None = None) -> None:
     options = _options(arguments)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
+    get_logger(file=options.log_file)
     spark = SparkSession.builder.appName(f"candlewright-{options.job}").getOrCreate()
     use_utc(spark)
     if options.job == "candles":
@@ -164,7 +167,7 @@ def main(arguments: list[str] | None = None) -> None:
     else:
         channels = options.channels.split(",") if options.channels else None
         detector = _detector(spark, options.language_samples)
-        query = stream.start(stream.read_messages(spark, options.source), options.sink, options.checkpoint, options.rejects, channels, detector=detector)
+        query = stream.start(stream.read_messages(spark, options.source), options.sink, options.checkpoint, options.rejects, channels, once=options.once, detector=detector)
         try:
             query.awaitTermination()
         except KeyboardInterrupt:

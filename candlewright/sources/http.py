@@ -8,8 +8,8 @@ import urllib.error
 import urllib.parse
 import urllib.request
 
-#: Attempts for one request, and the longest wait between two.
-ATTEMPTS, LONGEST_WAIT_S = 3, 60.0
+#: Attempts for one request, and the longest wait between two that a server may ask for.
+ATTEMPTS, LONGEST_WAIT_S = 3, 3600.0
 
 
 def _wait_s(error: OSError, attempt: int) -> float:

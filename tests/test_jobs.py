@@ -1,10 +1,13 @@
 from datetime import datetime
 
+import pytest
+
+from candlewright.logs import get_logger
 from candlewright.operators.sinks import read_marks
 from candlewright.plans import jobs
 from candlewright.plans.jobs import backfill_candles, backfill_messages
 from candlewright.schemas import SCRAPE_CHECKPOINTS
-from candlewright.sources import klines
+from candlewright.sources import http, klines
 from tests.helpers import spark_bag
 
 HOUR = 3_600_000
@@ -50,6 +53,39 @@ def test_message_job_writes_rejects_and_languages(spark, data, tmp_path):
     assert told == {"vi", "en", None}
 
 
+def test_listening_once(spark, data, tmp_path):
+    folder = f"{tmp_path}/in"
+    spark.read.parquet(f"{data}/telegram_messages.parquet").limit(200).write.parquet(folder)
+    for _ in range(2):
+        jobs.main(["listen", "--once", "--source", folder, "--sink", f"{tmp_path}/sink", "--checkpoint", f"{tmp_path}/c", "--log-file", f"{tmp_path}/log"])
+    assert 0 < spark.read.parquet(f"{tmp_path}/sink").count() <= 200
+
+
+def test_loggers_have_one_handler_of_a_kind(tmp_path, capsys):
+    for _ in range(3):
+        log = get_logger("cw-test", f"{tmp_path}/log")
+    log.info("one line")
+    assert capsys.readouterr().out.count("one line") == 1 and (tmp_path / "log").read_text().count("INFO cw-test one line") == 1
+
+
+def test_a_server_that_asks_for_too_long_a_wait(monkeypatch):
+    waits = []
+    monkeypatch.setattr(http.time, "sleep", waits.append)
+
+    def answer(told):
+        def fail(*_, **__):
+            raise http.urllib.error.HTTPError("u", 429, "slow", {"Retry-After": told} if told else {}, None)
+
+        return fail
+
+    for told, expected in (("7", [7.0, 7.0]), (None, [2.0, 4.0]), ("3601", [])):
+        waits.clear()
+        monkeypatch.setattr(http.urllib.request, "urlopen", answer(told))
+        with pytest.raises(OSError):
+            http.get_json("http://nowhere", {"a": None})
+        assert waits == expected
+
+
 def message(i, channel="c", text="a text that is long enough"):
     return (i, channel, text, 1, None, datetime(2024, 1, 1, i % 24))
 
