@@ -51,31 +51,41 @@ def p3_observed(spark: SparkSession, folder: str) -> DataFrame:
     return fixed.select("coin", "timeframe", F.col("grid_s").cast("bigint").alias("grid_s"), "value", "status", "n_periods")
 
 
+def _deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """What tells messages apart, and when each row was delivered."""
+    return named_messages(spark, folder).select(*MESSAGE, "ingested_at")
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Messages stored in more than one row."""
-    kept = one_copy_each(named_messages(spark, folder), MESSAGE, ["ingested_at"])
+    kept = one_copy_each(_deliveries(spark, folder), MESSAGE, ["ingested_at"])
     return kept.where("copies > 1").select(*MESSAGE)
 
 
 def p6_one_copy_each(spark: SparkSession, folder: str) -> DataFrame:
     """Each message once, its first stored row, with the number of its copies."""
-    kept = one_copy_each(named_messages(spark, folder), MESSAGE, ["ingested_at"])
+    kept = one_copy_each(_deliveries(spark, folder), MESSAGE, ["ingested_at"])
     return kept.select(*MESSAGE, "ingested_at", "copies")
 
 
+def p6_whole_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Each message once with all its columns, as its first delivery has them."""
+    return one_copy_each(named_messages(spark, folder), MESSAGE, ["ingested_at"])
+
+
 #: Deliveries from this day on are the new batch of p6_new_batch.
 NEW_FROM = "2024-10-28"
 
 
 def p6_new_batch(spark: SparkSession, folder: str) -> DataFrame:
     """Each message once over the stored rows and a new batch; ``delivery`` tells whose copy is kept."""
-    rows = named_messages(spark, folder)
+    rows = _deliveries(spark, folder)
     stored, new = rows.where(f"ingested_at < '{NEW_FROM}'"), rows.where(f"ingested_at >= '{NEW_FROM}'")
     kept = one_copy_each(stored, MESSAGE, ["ingested_at"], new=new)
     return kept.select(*MESSAGE, "ingested_at", "delivery", "copies")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_channel_profile, p3_found, p3_grid, p3_observed, p6_found, p6_one_copy_each, p6_new_batch)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_channel_profile, p3_found, p3_grid, p3_observed, p6_found, p6_one_copy_each, p6_whole_rows, p6_new_batch)}
 
 _CELLS_SQL = """
 timed AS (
