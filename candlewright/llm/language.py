@@ -35,6 +35,9 @@ CLEAR = 0.04
 #: Characters of text that are ranked at a time.
 CHUNK = 400_000
 
+#: Segments that are numbered beside their n-grams; ``CHUNK`` characters can't hold as many.
+_MOST_SEGMENTS = 1 << 22
+
 _LINKS = re.compile(r"[hH][tT][tT][pP][sS]?://\S+|[wW]{3}\.\S+|[@#$]\w[\w.]*")
 #: One of these is in every link, handle and tag.
 _LINK_MARKS = ("@", "#", "$", "://", "w.", "W.")
@@ -129,6 +132,8 @@ def segments_of(texts: list[str]) -> Segments:
     cut = (kind == _BREAK) | ((kind == _STOP) & (follows != _LETTER) & (follows != _DIGIT))
     segment = np.cumsum(cut) - cut  # the mark belongs to the segment it ends
     n = int(segment[-1]) + 1
+    if n > _MOST_SEGMENTS:
+        raise ValueError("too many segments at once; texts have to come in parts")
     first = np.searchsorted(segment, np.arange(n))
     last = np.append(first[1:], len(code))
     text_no = np.searchsorted(ends, first, side="right")
