@@ -123,15 +123,15 @@ def key_profile(
 
     Defined results: a NULL key is a key like any other; rows with a NULL ``order`` count in ``n_rows`` only;
     repeated rows and ties all count; an empty table gives no rows; other columns of ``rows`` play no part,
-    whatever their names. A key whose rows all tie on ``order`` is split by ``ties`` and, beyond them, by the
-    row's place in its input partition.
+    whatever their names. A key whose rows all tie on ``order`` is split by ``ties`` and, beyond them, by
+    the input partitions that its rows come from, which stay the same when a task is run again.
     """
     ties = ties or []
     ordered = rows.select(
         *(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)),
         F.unix_micros(F.col(order).cast("timestamp")).alias("__t"),
         *(F.col(c).alias(f"__tie{i}") for i, c in enumerate(ties)),
-        F.monotonically_increasing_id().alias("__at"),
+        F.spark_partition_id().alias("__from"),
     )
     names = _names(len(keys))
     states = _partial_states(ordered, len(keys), quiet_seconds * 1_000_000, partitions)

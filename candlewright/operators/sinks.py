@@ -20,7 +20,7 @@ from candlewright.operators.sequences import numbered
 #: Rows of a transaction in a database sink.
 CHUNK_ROWS = 2000
 #: Ids of a block, and blocks after which they begin anew: a parquet table of messages is laid out by block.
-_BLOCK_IDS, _BLOCKS = 4096, 64
+_BLOCK_IDS, _BLOCKS = 4096, 16
 
 # Where a row of each table lies: expressions of its key alone, with few values, so that a batch reads the parts it can touch.
 MESSAGE_LAYOUT = {"id_block": f"CAST(pmod(id div {_BLOCK_IDS}, {_BLOCKS}) AS INT)"}
