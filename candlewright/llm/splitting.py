@@ -8,7 +8,7 @@ one is merged with its own siblings only. A heading stays with what follows it.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +28,9 @@ CUTS = [
     re.compile(r"\s+"),
 ]
 
-#: A heading with nothing but blanks after it, at the end of a stretch of text, and one at the start.
-_HEADING_BEFORE = re.compile(r"(?:^|\n)[ \t]*(?:(#{1,6})[ \t][^\n]*|<h([1-6])[ >][^\n]*)\s*\Z", re.IGNORECASE)
-_HEADING_AFTER = re.compile(r"[ \t]*(?:(#{1,6})[ \t]|<h([1-6])[ >])", re.IGNORECASE)
-#: A heading is looked for in so many characters before a cut.
+_HEADING = re.compile(r"^[ \t]*(?:(#{1,6})[ \t]|<h([1-6])[ >]).*", re.IGNORECASE | re.MULTILINE)
+_BLANKS = re.compile(r"\s*")
+#: A heading is kept whole, and with what follows, if it has at most so many characters.
 _HEADING_CHARS = 400
 
 #: A token may end inside a character; a cut then moves by up to this many tokens.
@@ -60,29 +59,37 @@ class _Sizes:
         return int(self.token_at[place])
 
 
-def _level(heading: re.Match | None) -> int:
-    """1 to 6, from the greatest heading to the least; 7 where there is none."""
-    return 7 if heading is None else len(heading[1]) if heading[1] else int(heading[2])
+class _Headings:
+    """Where the headings of a text begin, their lines end, and what follows them begins; their levels from 1, the greatest."""
 
+    def __init__(self, text: str):
+        found = [(m.start() + len(m[0]) - len(m[0].lstrip()), m.end(), len(m[1] or "") or int(m[2])) for m in _HEADING.finditer(text)]
+        self.starts = [start for start, _, _ in found]
+        self.lines = [end for _, end, _ in found]
+        self.levels = [level for _, _, level in found]
+        self.ends = [_BLANKS.match(text, end).end() for end in self.lines]
 
-def _splits_heading(text: str, low: int, at: int) -> bool:
-    """Whether a cut at ``at`` would part a heading from what belongs under it."""
-    before = _level(_HEADING_BEFORE.search(text, max(low - 1, at - _HEADING_CHARS, 0), at))
-    return before < _level(_HEADING_AFTER.match(text, at))
+    def parted_at(self, at: int) -> bool:
+        """Whether a cut would part a heading, or a heading from what belongs under it."""
+        k = bisect_left(self.starts, at) - 1
+        if k < 0 or at > self.ends[k] or at - self.starts[k] > _HEADING_CHARS:
+            return False
+        alone = k + 1 < len(self.starts) and self.starts[k + 1] == self.ends[k] and self.levels[k + 1] <= self.levels[k]
+        return at <= self.lines[k] or not alone
 
 
-def _children(text: str, sizes: _Sizes, start: int, end: int, depth: int) -> list[tuple[int, int]]:
+def _children(text: str, sizes: _Sizes, headings: _Headings, start: int, end: int, depth: int) -> list[tuple[int, int]]:
     """The children of a node (places) at ``depth``, each from where a cut ends to the next; a heading alone is none."""
     low, high = int(sizes.char_at[start]), int(sizes.char_at[end])
     edges = [start]
     for cut in CUTS[depth].finditer(text, low, high):
         edge = sizes.snap(cut.end())
-        if edges[-1] < edge < end and not _splits_heading(text, low, cut.end()):
+        if edges[-1] < edge < end and not headings.parted_at(cut.end()):
             edges.append(edge)
     return list(zip(edges, [*edges[1:], end]))
 
 
-def _pieces(text: str, sizes: _Sizes, start: int, end: int, depth: int, limit: int) -> list[tuple[int, int]]:
+def _pieces(text: str, sizes: _Sizes, headings: _Headings, start: int, end: int, depth: int, limit: int) -> list[tuple[int, int]]:
     """The pieces of a node that is over the limit: its children merged with their siblings, or their own pieces."""
     tokens = sizes.tokens_to
     if depth == len(CUTS):  # one endless word
@@ -93,9 +100,9 @@ def _pieces(text: str, sizes: _Sizes, start: int, end: int, depth: int, limit: i
         return list(zip(cuts, [*cuts[1:], end]))
     out: list[tuple[int, int]] = []
     open_run = False  # whether the last piece is a run of siblings that the next one may join
-    for low, high in _children(text, sizes, start, end, depth):
+    for low, high in _children(text, sizes, headings, start, end, depth):
         if tokens(high) - tokens(low) > limit:
-            out += _pieces(text, sizes, low, high, depth + 1, limit)
+            out += _pieces(text, sizes, headings, low, high, depth + 1, limit)
             open_run = False
         elif open_run and tokens(high) - tokens(out[-1][0]) <= limit:
             out[-1] = (out[-1][0], high)
@@ -110,9 +117,9 @@ def pieces_of(text: str, limit: int, overlap: int, path: str) -> list[tuple[int,
     tokens = encode(text, path)
     if len(tokens) <= limit:
         return [(0, len(text), len(tokens))]
-    sizes = _Sizes(text, tokens, encoder(path)[1])
+    sizes, headings = _Sizes(text, tokens, encoder(path)[1]), _Headings(text)
     out = []
-    for start, end in _pieces(text, sizes, 0, len(sizes.token_at) - 1, 0, limit - overlap - SLACK):
+    for start, end in _pieces(text, sizes, headings, 0, len(sizes.token_at) - 1, 0, limit - overlap - SLACK):
         if start:
             start = int(np.searchsorted(sizes.token_at, max(sizes.tokens_to(start) - overlap, 0), side="right")) - 1
         first, last = int(sizes.char_at[start]), int(sizes.char_at[end])
