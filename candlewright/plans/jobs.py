@@ -24,6 +24,7 @@ from candlewright.operators import sinks as S
 from candlewright.schemas import MESSAGES, SCRAPE_CHECKPOINTS
 from candlewright.session import checkpointed, use_utc
 from candlewright.sources import history, klines
+from candlewright.sources.channels import read_scrape_marks
 from candlewright.streaming import messages as stream
 
 log = logging.getLogger("candlewright")
@@ -113,6 +114,12 @@ def _read_history(spark: SparkSession, options: argparse.Namespace) -> DataFrame
     return history.read(spark, options.url, options.channels, options.marks, options.limit, options.before, options.since)
 
 
+def _seed_marks(spark: SparkSession, marks: str, files: str | None) -> None:
+    """Take over marks kept as one JSON file a channel, where there are no others yet."""
+    if files and S.read_marks(spark, marks, SCRAPE_CHECKPOINTS).isEmpty():
+        S.write_marks(read_scrape_marks(spark, files).select("channel", "last_message_id"), marks)
+
+
 def _options(arguments: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -133,6 +140,7 @@ def _options(arguments: list[str] | None) -> argparse.Namespace:
     option(history, "url", help="a service of message histories, instead of --source")
     option(history, "channels", help="channels to ask the service for")
     option(history, "marks", required=True)
+    option(history, "json-marks", help="a folder of marks, one JSON file a channel, to begin with")
     option(history, "limit", type=int, default=str(M.SCAN_LIMIT))
     option(history, "before")
     option(history, "since")
@@ -158,6 +166,7 @@ def main(arguments: list[str] | None = None) -> None:
         for row in backfill_candles(_read_klines(spark, options), options.sink, options.gaps, options.rejects).toLocalIterator():
             log.info("%s %s: %s, %d valid, %d skipped", row.coin, row.timeframe, row.status, row.n_valid, row.n_skipped)
     elif options.job == "messages":
+        _seed_marks(spark, options.marks, options.json_marks)
         found = backfill_messages(
             _read_history(spark, options), options.sink, options.marks, options.limit, options.before, options.since,
             rejects=options.rejects, detector=_detector(spark, options.language_samples),

@@ -53,6 +53,18 @@ def test_message_job_writes_rejects_and_languages(spark, data, tmp_path):
     assert told == {"vi", "en", None}
 
 
+def test_message_job_begins_with_marks_from_files(spark, tmp_path):
+    schema = "id bigint, channel_name string, message_text string, views int, forwards int, created_at timestamp_ntz"
+    spark.createDataFrame([message(i) for i in range(1, 9)], schema).write.parquet(f"{tmp_path}/in")
+    (tmp_path / "json").mkdir()
+    (tmp_path / "json/c.json").write_text('{"last_message_id": 5, "last_scraped_at": "2024-01-01T00:00:00+00:00"}')
+    run = ["messages", "--source", f"{tmp_path}/in", "--sink", f"{tmp_path}/sink", "--marks", f"{tmp_path}/marks", "--json-marks", f"{tmp_path}/json"]
+    for _ in range(2):
+        jobs.main(run)
+        assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/sink").collect()) == [6, 7, 8]
+        assert read_marks(spark, f"{tmp_path}/marks", SCRAPE_CHECKPOINTS).first().last_message_id == 8
+
+
 def test_listening_once(spark, data, tmp_path):
     folder = f"{tmp_path}/in"
     spark.read.parquet(f"{data}/telegram_messages.parquet").limit(200).write.parquet(folder)
