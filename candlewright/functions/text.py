@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Java pattern of one blank; it takes every Unicode blank, unlike ``trim``, which takes U+0020 only.
-BLANK = r"[\s\p{Z}\x1c-\x1f\x85]"
+# Every Unicode blank; ``trim`` alone takes U+0020 only.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 # The asset symbols looked for in a text, in the order in which they are reported.
 ASSETS = ["BTC", "ETH", "BNB", "SOL", "XRP", "ADA", "DOGE", "DOT", "AVAX", "MATIC", "LINK", "UNI", "ATOM", "LTC", "TRX"]
@@ -24,7 +24,7 @@ NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
 
 def strip(text: Column) -> Column:
     """``text`` without Unicode blanks at both ends; NULL stays NULL."""
-    return F.regexp_replace(text, rf"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def extract_coins(text: Column, assets: list[str] | None = None) -> Column:
@@ -47,7 +47,7 @@ def route_language(text: Column, detected: Column) -> Column:
 
 def strip_at(name: Column) -> Column:
     """``name`` without any leading ``@``."""
-    return F.regexp_replace(name, "^@+", "")
+    return F.ltrim(name, F.lit("@"))
 
 
 def safe_name(name: Column) -> Column:
